@@ -79,12 +79,12 @@ def _number_sql(*parts: str) -> str:
     f"c AS (SELECT c_custkey, 3 + {_number_sql(chr(39) + 'k' + chr(39), 'c_custkey')} % 6 AS k, "
     f"{_number_sql(chr(39) + 's' + chr(39), chr(39) + 'start' + chr(39), 'c_custkey')} % p AS start, "
     f"{_number_sql(chr(39) + 's' + chr(39), chr(39) + 'step' + chr(39), 'c_custkey')} % (p - 1) + 1 AS step, p, n FROM customer, pr, n), "
-    "w AS (SELECT c_custkey, least(k, n) AS k, (start + t.t * step) % p AS at, t.t AS t FROM c, range(0, 300) t(t) "
+    "w AS (SELECT c_custkey, least(k, n) AS k, (start + t.t * step) % p AS place, t.t AS t FROM c, range(0, 300) t(t) "
     "WHERE t.t < least(k, n) + (p - n) AND (start + t.t * step) % p < n), "
-    "r AS (SELECT c_custkey, at, k, row_number() OVER (PARTITION BY c_custkey ORDER BY t) AS i FROM w), "
-    "s AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS at FROM supplier) "
+    "r AS (SELECT c_custkey, place, k, row_number() OVER (PARTITION BY c_custkey ORDER BY t) AS i FROM w), "
+    "s AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier) "
     f"SELECT c_custkey, s_suppkey, 1 + {_number_sql(chr(39) + 's' + chr(39), chr(39) + 'quantity' + chr(39), 'c_custkey', 's_suppkey')} % 5 AS quantity "
-    "FROM r JOIN s USING (at) WHERE i <= k",
+    "FROM r JOIN s USING (place) WHERE i <= k",
 )
 def _(spark, folder):
     customers = table(spark, folder, "customer").select("c_custkey")

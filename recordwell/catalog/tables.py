@@ -116,4 +116,4 @@ def _(spark, folder):
         lambda df: df.select("event_id", F.upper(clean_text("event_type")).alias("event_type")),
         pathGlobFilter="events.parquet")
     stream.awaitTermination()
-    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(f"{out}/rows")
+    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(f"{out}/rows").select("event_id", "event_type")

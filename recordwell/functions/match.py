@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from recordwell.functions.text import ColumnOrName, _col
+from recordwell.functions.text import ColumnOrName, _col, let
 
 # Fixed value: Soundex digit of each letter A..Z ("0" for the letters that carry none).
 SOUNDEX_DIGITS = "01230120022455012623010202"
@@ -19,16 +19,17 @@ def soundex_long(c: ColumnOrName) -> Column:
     Unlike the built-in ``soundex`` the code is not cut at four, so long names that
     merely start alike stay apart.
     """
-    letters = F.regexp_replace(F.upper(_col(c)), "[^A-Z]", "")
-    digits = F.translate(letters, LETTERS, SOUNDEX_DIGITS)
-    runs = F.regexp_replace(F.translate(digits, "0", ""), r"([1-6])\1+", "$1")
-    tail = F.when(F.substring(digits, 1, 1) == "0", runs).otherwise(
-        runs.substr(F.lit(2), F.length(runs))
-    )
-    code = F.concat(F.substring(letters, 1, 1), tail)
-    return F.when(letters == "", F.lit("")).when(
-        F.length(code) < 4, F.rpad(code, 4, "0")
-    ).otherwise(code)
+    def code(letters: Column) -> Column:
+        digits = F.translate(letters, LETTERS, SOUNDEX_DIGITS)
+        runs = F.regexp_replace(F.translate(digits, "0", ""), r"([1-6])\1+", "$1")
+        # the first letter stands for itself, so its own digit goes
+        tail = F.regexp_replace(F.concat(F.substring(digits, 1, 1), F.lit(":"), runs), r"^(?:0:|([1-6]):\1)", "")
+        return F.concat(F.substring(letters, 1, 1), tail)
+
+    def padded(text: Column) -> Column:
+        return F.when((text == "") | (F.length(text) >= 4), text).otherwise(F.rpad(text, 4, "0"))
+
+    return let(let(F.regexp_replace(F.upper(_col(c)), "[^A-Z]", ""), code), padded)
 
 
 def _mask(letters: Column, letter: Column) -> Column:

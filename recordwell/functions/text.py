@@ -7,7 +7,7 @@ leaves the JVM, so whole chains of rules run inside one projection.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
@@ -43,14 +43,23 @@ ADDRESS_CITIES = (
     ("TANGER", "Tanger"),
 )
 
-# Fixed value: accepted e-mail form; the top-level domain length is a parameter.
-EMAIL_PATTERN = r"(?i)^[A-Z0-9._%-]+@[A-Z0-9.-]+\.[A-Z]{2,%d}$"
+# Fixed value: accepted e-mail form.
+EMAIL_PATTERN = r"(?i)^[A-Z0-9._%-]+@[A-Z0-9.-]+\.[A-Z]{2,4}$"
 
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: ColumnOrName, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it.
+
+    Without it a chain of rules that each mention their input several times grows
+    exponentially when the optimizer inlines it.
+    """
+    return F.get(F.transform(F.array(_col(c)), lambda value: body(value)), F.lit(0))
+
+
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
     """(from, to) for ``translate``: accented Latin letters to their base letter.
@@ -84,8 +93,10 @@ def squeeze(c: ColumnOrName) -> Column:
 
 def clean_text(c: ColumnOrName) -> Column:
     """Squeezed text; blank and null words (any case) become null."""
-    text = squeeze(c)
-    return F.when((text == "") | F.lower(text).isin(*NULL_WORDS), F.lit(None)).otherwise(text)
+    def rule(text: Column) -> Column:
+        return F.when((text != "") & ~F.lower(text).isin(*NULL_WORDS), text)
+
+    return let(squeeze(c), rule)
 
 
 def is_null_token(c: ColumnOrName) -> Column:
@@ -118,12 +129,17 @@ def strip_suffixes(c: ColumnOrName, suffixes: Sequence[str] = PLACE_SUFFIXES) ->
 
 def canonical_prefix(c: ColumnOrName, names: Sequence[str] = CANONICAL_PREFIXES) -> Column:
     """A text that begins with a known name (case and accents apart) becomes that name."""
-    value, key = _col(c), fold(c)
-    out = None
-    for name in names:
-        hit = key.startswith(fold(F.lit(name)))
-        out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
-    return value if out is None else out.otherwise(value)
+    if not names:
+        return _col(c)
+
+    def rule(key: Column) -> Column:
+        out = None
+        for name in names:
+            hit = key.startswith(fold(F.lit(name)))
+            out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
+        return out
+
+    return F.coalesce(let(fold(c), rule), _col(c))
 
 
 def is_address_like(c: ColumnOrName, street: str = "RUE") -> Column:
@@ -141,17 +157,18 @@ def address_to_city(
 
     ``street_city`` is the rule tried before the ordered list: a street in that city.
     """
-    value, key = _col(c), fold(c)
-    picked = F.when(F.lit(False), value)
-    if street_city:
-        token, name = street_city
-        picked = picked.when(
-            key.contains(street.lower()) & key.contains(token.lower()), F.lit(name)
-        )
-    address = is_address_like(c, street)
-    for token, name in cities:
-        picked = picked.when(address & key.contains(token.lower()), F.lit(name))
-    return picked.otherwise(value)
+    def rule(key: Column) -> Column:
+        in_street = key.contains(street.lower())
+        picked = F.when(F.lit(False), F.lit(None).cast("string"))
+        if street_city:
+            token, name = street_city
+            picked = picked.when(in_street & key.contains(token.lower()), F.lit(name))
+        address = in_street | key.rlike("^[0-9]+")
+        for token, name in cities:
+            picked = picked.when(address & key.contains(token.lower()), F.lit(name))
+        return picked
+
+    return F.coalesce(let(fold(c), rule), _col(c))
 
 
 def sentence_case(c: ColumnOrName) -> Column:
@@ -211,16 +228,19 @@ def international_phone(
     c: ColumnOrName, local: Sequence[str] = ("05", "06"), country: str = "212"
 ) -> Column:
     """Digits and ``+`` only; local prefixes and a bare country code get ``+country``."""
-    digits = F.regexp_replace(_col(c), "[^0-9+]", "")
-    local_hit = F.lit(False)
-    for prefix in local:
-        local_hit = local_hit | digits.startswith(prefix)
-    phone = (
-        F.when(local_hit, F.concat(F.lit("+" + country), digits.substr(F.lit(2), F.length(digits))))
-        .when(digits.startswith(country), F.concat(F.lit("+"), digits))
-        .otherwise(digits)
-    )
-    return F.when(phone == "", F.lit(None)).otherwise(phone)
+    def rule(digits: Column) -> Column:
+        local_hit = F.lit(False)
+        for prefix in local:
+            local_hit = local_hit | digits.startswith(prefix)
+        rest = digits.substr(F.lit(2), F.length(digits))
+        return (
+            F.when(digits == "", F.lit(None))
+            .when(local_hit, F.concat(F.lit("+" + country), rest))
+            .when(digits.startswith(country), F.concat(F.lit("+"), digits))
+            .otherwise(digits)
+        )
+
+    return let(F.regexp_replace(_col(c), "[^0-9+]", ""), rule)
 
 
 def split_phones(c: ColumnOrName, **rule) -> Column:
@@ -232,7 +252,7 @@ def split_phones(c: ColumnOrName, **rule) -> Column:
 def email_invalid(c: ColumnOrName, max_tld: int = 4) -> Column:
     """A present e-mail that does not have the accepted form."""
     value = _col(c)
-    return value.isNotNull() & ~value.rlike(EMAIL_PATTERN % max_tld)
+    return value.isNotNull() & ~value.rlike(EMAIL_PATTERN.replace("{2,4}", f"{{2,{max_tld}}}"))
 
 
 def valid_phone(c: ColumnOrName) -> Column:

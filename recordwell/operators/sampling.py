@@ -60,9 +60,8 @@ def sample_links(left: DataFrame, left_id: str, k: Column, right: DataFrame, rig
     if domain.n == 0:
         raise ValueError("no ids to link to")
     drawn = left.select(
-        F.col(left_id).alias(left_name),
-        F.explode(sample_positions(F.col(left_id), k, domain.n, seed)).alias("_at"),
-    )
+        F.col(left_id).alias("_left"), sample_positions(F.col(left_id), k, domain.n, seed).alias("_places")
+    ).select(F.col("_left").alias(left_name), F.explode("_places").alias("_at"))
     if domain.low == 1 and domain.high == domain.n:
         links = drawn.withColumn(right_name, (F.col("_at") + 1).cast(right.schema[right_id].dataType))
     else:

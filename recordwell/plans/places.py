@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordwell.functions.match import soundex_long
 from recordwell.functions.text import (
-    address_to_city, ascii_name, canonical_prefix, fold, nullify, sentence_case, spaceless, strip_suffixes,
+    address_to_city, ascii_name, canonical_prefix, fold, let, nullify, sentence_case, spaceless, strip_suffixes,
 )
 from recordwell.operators.checks import junk_place
-from recordwell.operators.columns import advance_status, when_pending
+from recordwell.operators.columns import advance_status
 from recordwell.operators.contain import drop_containers
 from recordwell.operators.edits import typo_match
 from recordwell.operators.fill import self_fill
@@ -65,15 +67,19 @@ def clean_places(df: DataFrame, order_by: str = "raw_id", canonical_last: bool =
     compared without case and accents, and rows with a city become valid. Casing undoes
     some canonical spellings, as in the rule order; ``canonical_last`` restores them.
     """
-    status = F.col("validation_status")
-    step: Column = F.when(status == "PENDING", strip_suffixes("city")).otherwise(F.col("city"))
-    staged = df.withColumn("city", step)
-    staged = staged.withColumn("city", canonical_prefix("city"))
-    staged = staged.withColumn("city", when_pending(address_to_city("city"), "city"))
-    staged = staged.withColumn("city", when_pending(sentence_case("city"), "city"))
+    pending = F.col("validation_status") == "PENDING"
+
+    def when_pending(rule: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda city: F.when(pending, rule(city)).otherwise(city)
+
+    steps = [when_pending(strip_suffixes), canonical_prefix, when_pending(address_to_city), when_pending(sentence_case)]
     if canonical_last:
-        staged = staged.withColumn("city", canonical_prefix("city"))
-    filled = self_fill(staged, "city", ATTRIBUTES, order_by, only=status == "PENDING")
+        steps.append(canonical_prefix)
+    city = F.col("city")
+    for step in steps:
+        city = let(city, step)
+    staged = df.withColumn("city", city)
+    filled = self_fill(staged, "city", ATTRIBUTES, order_by, only=pending)
     return filled.withColumn("validation_status", advance_status())
 
 
