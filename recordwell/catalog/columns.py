@@ -195,7 +195,7 @@ def _(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "source", "lang").orderBy(F.desc("source"), "doc_id")
 
 
-@query("type_lengths", "SELECT doc_id, length(text) AS characters, octet_length(encode(text)) AS bytes FROM documents")
+@query("type_lengths", "SELECT doc_id, CAST(length(text) AS INT) AS characters, CAST(octet_length(encode(text)) AS INT) AS bytes FROM documents")
 def _(spark, folder):
     return table(spark, folder, "documents").select(
         "doc_id", F.length("text").alias("characters"), F.octet_length("text").alias("bytes"))

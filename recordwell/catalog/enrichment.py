@@ -164,7 +164,7 @@ def _(spark, folder):
 
 
 @query("change_statistics", f"WITH p AS ({PLACES.sql}) SELECT count(*) AS rows_before, count(*) FILTER (region IS NULL AND regexp_matches(city, '[0-9]')) AS rows_deleted, "
-       "count(*) FILTER (region IS NULL AND NOT regexp_matches(city, '[0-9]')) AS rows_updated, 0 AS city_found, "
+       "count(*) FILTER (region IS NULL AND NOT regexp_matches(city, '[0-9]')) AS rows_updated, 0::BIGINT AS city_found, "
        "count(*) FILTER (region IS NULL AND NOT regexp_matches(city, '[0-9]')) AS region_found FROM p")
 def _(spark, folder):
     before = PLACES.frame(spark, folder)

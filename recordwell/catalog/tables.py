@@ -95,7 +95,7 @@ def _(spark, folder):
     return readers.read_json_objects(spark, path, ["ID", "NOM", "VILLE"], multi_line=False)
 
 
-@query("ledger_resume", "SELECT o_orderstatus, count(*) AS orders, sum(o_custkey) AS check_sum FROM orders GROUP BY o_orderstatus")
+@query("ledger_resume", "SELECT o_orderstatus, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS check_sum FROM orders GROUP BY o_orderstatus")
 def _(spark, folder):
     """Three slices, the second written twice: every order is in the ledger once."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
