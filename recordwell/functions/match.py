@@ -49,21 +49,21 @@ def lcs_length(a: ColumnOrName, b: ColumnOrName) -> Column:
     Bit-parallel row update on 60-bit words with carry: |a|/60 * |b| word steps.
     """
     a, b = _col(a), _col(b)
-    left, right = F.split(a, ""), F.split(b, "")
     n = F.length(a)
-    words = F.transform(
-        F.sequence(F.lit(0), F.floor((n - 1) / _WORD).cast("int")),
-        lambda k: F.slice(left, k * _WORD + 1, F.lit(_WORD)),
-    )
 
     def ones(word: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.size(word)) - 1
 
-    def advance(state: Column, letter: Column) -> Column:
-        def word_step(acc: Column, pair: Column) -> Column:
-            value, word = pair["v"], pair["w"]
-            mask = _mask(word, letter)
-            kept = value.bitwiseAND(mask)
+    def cut(letters: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(letters) - 1) / _WORD).cast("int")),
+            lambda k: F.slice(letters, k * _WORD + 1, F.lit(_WORD)),
+        )
+
+    def word_step(letter: Column, acc: Column, pair: Column) -> Column:
+        value, word = pair["v"], pair["w"]
+
+        def step(kept: Column) -> Column:
             total = value + kept + acc["carry"]
             merged = total.bitwiseAND(ones(word)).bitwiseOR(value - kept)
             return F.struct(
@@ -71,14 +71,21 @@ def lcs_length(a: ColumnOrName, b: ColumnOrName) -> Column:
                 F.concat(acc["vs"], F.array(merged)).alias("vs"),
             )
 
+        return let(value.bitwiseAND(_mask(word, letter)), step)
+
+    def rows(words: Column) -> Column:
         start = F.struct(
             F.lit(0).cast("bigint").alias("carry"),
             F.array().cast("array<bigint>").alias("vs"),
         )
-        pairs = F.zip_with(state, words, lambda v, w: F.struct(v.alias("v"), w.alias("w")))
-        return F.aggregate(pairs, start, word_step)["vs"]
 
-    final = F.aggregate(right, F.transform(words, ones), advance)
+        def advance(state: Column, letter: Column) -> Column:
+            pairs = F.zip_with(state, words, lambda v, w: F.struct(v.alias("v"), w.alias("w")))
+            return F.aggregate(pairs, start, lambda acc, pair: word_step(letter, acc, pair))["vs"]
+
+        return F.aggregate(F.split(b, ""), F.transform(words, ones), advance)
+
+    final = let(let(F.split(a, ""), cut), rows)
     unset = n - F.aggregate(
         F.transform(final, lambda v: F.bit_count(v)), F.lit(0), lambda acc, v: acc + v
     )

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordwell.functions.text import let
+from recordwell.operators.edits import name_table
 from recordwell.session import broadcast_if_small
 
 
@@ -22,15 +24,15 @@ def needle_lengths(needles: DataFrame, column: str) -> list[int]:
 
 def substring_keys(text: Column, lengths: Sequence[int]) -> Column:
     """Hashes of the distinct substrings of the given lengths."""
-    n = F.length(text)
+    sizes = F.array(*[F.lit(s) for s in lengths])
 
-    def of_length(size: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), n - size + 1), lambda i: F.xxhash64(text.substr(i, size))
-        )
+    def keys(word: Column) -> Column:
+        n = F.length(word)
+        fitting = F.filter(sizes, lambda s: s <= n)
+        return F.flatten(F.transform(fitting, lambda size: F.transform(
+            F.sequence(F.lit(1), n - size + 1), lambda i: F.xxhash64(word.substr(i, size)))))
 
-    fitting = F.filter(F.array(*[F.lit(s) for s in lengths]), lambda s: s <= n)
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
+    return F.array_distinct(let(text, keys))
 
 
 def containment_pairs(hay: DataFrame, hay_name: str, needles: DataFrame, needle_name: str) -> DataFrame:
@@ -48,14 +50,18 @@ def containment_pairs(hay: DataFrame, hay_name: str, needles: DataFrame, needle_
     return exploded.join(broadcast_if_small(small), hit).drop("_hkey", "_nkey")
 
 
-def drop_containers(df: DataFrame, name: str, quality: str) -> DataFrame:
+def containers(names: DataFrame) -> DataFrame:
+    """Broken names of a name table that contain the shorter name of a row that is whole (column ``bad``)."""
+    bad = names.filter(F.col("broken_id").isNotNull()).select(F.col("name").alias("bad"))
+    valid = names.filter(F.col("donor").isNotNull() & (F.col("name") != "")).select(F.col("name").alias("valid"))
+    longer = F.octet_length("bad") > F.octet_length("valid")
+    return containment_pairs(bad, "bad", valid, "valid").filter(longer).select("bad").distinct()
+
+
+def drop_containers(df: DataFrame, name: str, quality: str, id_col: str = "id") -> DataFrame:
     """Remove rows without ``quality`` whose name contains the shorter name of a row that has it."""
-    broken = F.col(quality).isNull()
-    bad = df.filter(broken & F.col(name).isNotNull()).select(F.col(name).alias("_bad")).distinct()
-    valid = df.filter(~broken & (F.col(name) != "")).select(F.col(name).alias("_valid")).distinct()
-    longer = F.octet_length("_bad") > F.octet_length("_valid")
-    doomed = containment_pairs(bad, "_bad", valid, "_valid").filter(longer).select("_bad").distinct()
-    return df.join(doomed, broken & (F.col(name) == F.col("_bad")), "left_anti")
+    doomed = containers(name_table(df, name, [quality], id_col))
+    return df.join(doomed, F.col(quality).isNull() & (F.col(name) == F.col("bad")), "left_anti")
 
 
 def link_by_containment(left: DataFrame, needle: str, left_id: str, right: DataFrame, hay: str,

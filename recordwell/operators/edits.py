@@ -8,8 +8,13 @@ is missed) and every candidate is verified with the built-in ``levenshtein``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordwell.functions.text import let
+from recordwell.session import cut_lineage
+
 #: Names up to this length use deletion variants (a few hundred keys), longer ones pieces.
 SHORT = 30
 
@@ -20,19 +25,25 @@ def _without(text: Column, position: Column) -> Column:
 
 def deletion_keys(text: Column, k: int) -> Column:
     """Hashes of every variant with at most ``k`` (1 or 2) characters deleted."""
-    n = F.length(text)
-    none = F.array().cast("array<string>")
-    places = F.sequence(F.lit(1), n)
-    variants = F.concat(F.array(text), F.when(n >= 1, F.transform(places, lambda i: _without(text, i))).otherwise(none))
-    if k == 2:
-        pairs = F.flatten(F.transform(
-            F.sequence(F.lit(1), n - 1),
-            lambda i: F.transform(F.sequence(i, n - 1), lambda j: _without(_without(text, i), j)),
-        ))
-        variants = F.concat(variants, F.when(n >= 2, pairs).otherwise(none))
-    elif k != 1:
+    if k not in (1, 2):
         raise ValueError("k must be 1 or 2")
-    return F.array_distinct(F.transform(variants, lambda v: F.xxhash64(v)))
+    none = F.array().cast("array<string>")
+
+    def drop_from(word: Column, first: Column) -> Column:
+        """Every text left by deleting one character at or after ``first``."""
+        n = F.length(word)
+        each = F.transform(F.sequence(first, n), lambda j: _without(word, j))
+        return F.when(n >= first, each).otherwise(none)
+
+    def variants(word: Column) -> Column:
+        one = drop_from(word, F.lit(1))
+        found = F.concat(F.array(word), one)
+        if k == 2:
+            two = F.transform(one, lambda v, i: drop_from(v, i + 1))
+            found = F.concat(found, F.flatten(two))
+        return F.transform(found, lambda v: F.xxhash64(v))
+
+    return F.array_distinct(let(text, variants))
 
 
 def _piece_start(length: Column, piece: Column, k: int) -> Column:
@@ -106,26 +117,44 @@ def edit_distance_pairs(left: DataFrame, right: DataFrame, left_name: str, right
     )
 
 
-def typo_match(df: DataFrame, name: str, attributes: list[str], id_col: str = "id",
+def name_table(df: DataFrame, name: str, attributes: Sequence[str], id_col: str = "id") -> DataFrame:
+    """One row per name: ``donor`` (its lowest row that has the first attribute) and
+    ``broken_id`` (its lowest row that lacks it), either null.
+
+    Repairs depend on names alone, so they work on this table; it is written once in
+    the shared folder and the rows themselves are read only to join the outcome back.
+    """
+    has = F.col(attributes[0]).isNotNull()
+    names = df.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(
+        F.min_by(
+            F.when(has, F.struct(F.col(id_col).alias("id"), *attributes)), F.when(has, F.col(id_col))
+        ).alias("donor"),
+        F.min(F.when(~has, F.col(id_col))).alias("broken_id"),
+    )
+    return cut_lineage(names)
+
+
+def nearest_names(names: DataFrame, k: int = 2, min_length: int = 1) -> DataFrame:
+    """For each broken name the nearest name with a donor, then the lowest donor id: (bad, good, donor)."""
+    bad = names.filter(F.col("broken_id").isNotNull()).select(F.col("name").alias("bad"))
+    good = names.filter(F.col("donor").isNotNull()).select(F.col("name").alias("good"), "donor")
+    pairs = edit_distance_pairs(bad, good, "bad", "good", k, min_length)
+    best = pairs.groupBy("bad").agg(
+        F.min_by(F.struct("good", "donor"), F.struct("distance", F.col("donor.id"))).alias("m")
+    )
+    return best.select("bad", "m.*")
+
+
+def typo_match(df: DataFrame, name: str, attributes: Sequence[str], id_col: str = "id",
                k: int = 2, min_length: int = 1) -> DataFrame:
     """Give rows without the first attribute the name and attributes of a near name that has it.
 
     The donor is the nearest name, then the lowest id.
     """
-    broken = F.col(attributes[0]).isNull()
-    bad = df.filter(broken & F.col(name).isNotNull()).select(F.col(name).alias("_bad")).distinct()
-    good = (
-        df.filter(~broken & F.col(name).isNotNull())
-        .groupBy(F.col(name).alias("_good"))
-        .agg(F.min_by(F.struct(F.col(id_col).alias("_id"), *attributes), id_col).alias("_row"))
-    )
-    pairs = edit_distance_pairs(bad, good, "_bad", "_good", k, min_length)
-    best = pairs.groupBy("_bad").agg(
-        F.min_by(F.struct(F.col("_good"), F.col("_row")), F.struct("distance", F.col("_row._id"))).alias("_match")
-    )
-    joined = df.join(best, F.col(name) == F.col("_bad"), "left")
-    take = broken & F.col("_match").isNotNull()
-    values = {name: F.col("_match._good")} | {c: F.col("_match._row")[c] for c in attributes}
+    best = nearest_names(name_table(df, name, attributes, id_col), k, min_length)
+    joined = df.join(best, F.col(name) == F.col("bad"), "left")
+    take = F.col(attributes[0]).isNull() & F.col("good").isNotNull()
+    values = {name: F.col("good")} | {c: F.col("donor")[c] for c in attributes}
     return joined.select(*[
         F.when(take, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
         for c in df.columns

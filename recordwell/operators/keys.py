@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from recordwell.functions.text import let
+
 #: Most buckets a dense numbering is split into; bounds what the driver sees.
 MAX_BUCKETS = 8192
 
@@ -77,12 +79,16 @@ def _bucket_of(key: Column, splits: Column, n: int) -> Column:
     if not steps:
         return F.lit(0)
 
-    def probe(at: Column, jump: Column) -> Column:
-        ahead = at + jump
-        hit = (ahead <= n) & (F.element_at(splits, ahead) <= key)
-        return F.when(hit, ahead).otherwise(at)
+    jumps = F.array(*[F.lit(s) for s in reversed(steps)])
+
+    def search(k: Column) -> Column:
+        def probe(at: Column, jump: Column) -> Column:
+            ahead = at + jump
+            return F.when((ahead <= n) & (F.element_at(splits, ahead) <= k), ahead).otherwise(at)
+
+        return F.aggregate(jumps, F.lit(0), probe)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in reversed(steps)]), F.lit(0), probe)
+    return let(key, search)
 
 
 def dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "id",

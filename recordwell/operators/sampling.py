@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordwell.functions.text import let
 from recordwell.operators.keys import dense_id
 from recordwell.session import broadcast_if_small
 
@@ -35,14 +36,19 @@ def sample_positions(row: Column, k: Column, n: int, seed: str) -> Column:
     which meets each number once, and skips the few that are n or more.
     """
     p = _prime_from(n)
-    start = F.pmod(hash_number(F.lit(seed), F.lit("start"), row), F.lit(p))
-    step = F.pmod(hash_number(F.lit(seed), F.lit("step"), row), F.lit(p - 1)) + 1
-    count = F.least(k.cast("int"), F.lit(n))
-    walk = F.transform(
-        F.sequence(F.lit(0), count + (p - n) - 1), lambda t: F.pmod(start + t * step, F.lit(p))
+    draw = F.struct(
+        F.pmod(hash_number(F.lit(seed), F.lit("start"), row), F.lit(p)).alias("start"),
+        (F.pmod(hash_number(F.lit(seed), F.lit("step"), row), F.lit(p - 1)) + 1).alias("step"),
+        F.least(k.cast("int"), F.lit(n)).alias("count"),
     )
-    inside = F.slice(F.filter(walk, lambda x: x < n), F.lit(1), count)
-    return F.when(count > 0, inside).otherwise(F.array().cast("array<bigint>"))
+
+    def walk(d: Column) -> Column:
+        steps = F.sequence(F.lit(0), d["count"] + (p - n) - 1)
+        met = F.transform(steps, lambda t: F.pmod(d["start"] + t * d["step"], F.lit(p)))
+        inside = F.slice(F.filter(met, lambda x: x < n), F.lit(1), d["count"])
+        return F.when(d["count"] > 0, inside).otherwise(F.array().cast("array<bigint>"))
+
+    return let(draw, walk)
 
 
 def sample_links(left: DataFrame, left_id: str, k: Column, right: DataFrame, right_id: str,

@@ -12,10 +12,11 @@ from recordwell.functions.text import (
 )
 from recordwell.operators.checks import junk_place
 from recordwell.operators.columns import advance_status
-from recordwell.operators.contain import drop_containers
-from recordwell.operators.edits import typo_match
+from recordwell.operators.contain import containers
+from recordwell.operators.edits import name_table, nearest_names
 from recordwell.operators.fill import self_fill
 from recordwell.operators.keys import keep_best, smart_dedup
+from recordwell.session import cut_lineage
 
 # Known cities with their region and province.
 CITY_DICTIONARY = (
@@ -122,6 +123,39 @@ def standardise_places(df: DataFrame, mode: str = "ascii") -> DataFrame:
     return named.filter(~junk_place("city"))
 
 
+def repair_decisions(names: DataFrame, dictionary: DataFrame, min_typo_length: int = 3) -> DataFrame:
+    """What becomes of the rows without a region under each name: (bad, new name and attributes, drop).
+
+    Works on a name table. Dictionary key, then sound, then typo; a name none of them
+    repairs is dropped if it contains a whole name. Names the dictionary repairs count
+    as whole for the later steps.
+    """
+    broken = names.filter(F.col("broken_id").isNotNull()).select(
+        F.col("name").alias("bad"), "broken_id", F.col("name").alias("city"),
+        *[F.lit(None).cast("string").alias(c) for c in ATTRIBUTES],
+    )
+    by_key = dictionary_match(broken, dictionary, spaceless)
+    known = cut_lineage(dictionary_match(by_key, dictionary, soundex_long))
+    repaired = known.filter(F.col("region").isNotNull())
+    donors = names.filter(F.col("donor").isNotNull()).select("name", "donor").unionByName(
+        repaired.select(F.col("city").alias("name"), F.struct(F.col("broken_id").alias("id"), *ATTRIBUTES).alias("donor"))
+    )
+    whole = donors.groupBy("name").agg(F.min_by("donor", F.col("donor.id")).alias("donor"))
+    open_names = known.filter(F.col("region").isNull()).select(F.col("bad").alias("name"), "broken_id")
+    state = cut_lineage(whole.join(open_names, "name", "full").select("name", "donor", "broken_id"))
+    near = cut_lineage(nearest_names(state, 2, min_typo_length))
+    rest = state.join(near.select(F.col("bad").alias("name"), F.lit(True).alias("found")), "name", "left").select(
+        "name", "donor", F.when(F.col("found").isNull(), F.col("broken_id")).alias("broken_id")
+    )
+    keep = F.lit(False).alias("drop")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("city", *ATTRIBUTES)]
+    return (
+        repaired.select("bad", "city", *ATTRIBUTES, keep)
+        .unionByName(near.select("bad", F.col("good").alias("city"), *[F.col("donor")[c].alias(c) for c in ATTRIBUTES], keep))
+        .unionByName(containers(rest).select("bad", *nothing, F.lit(True).alias("drop")))
+    )
+
+
 def repair_places(df: DataFrame, dictionary: DataFrame | None = None, mode: str = "fold",
                   min_typo_length: int = 3) -> DataFrame:
     """The whole repair of (id, region, province, city).
@@ -131,11 +165,23 @@ def repair_places(df: DataFrame, dictionary: DataFrame | None = None, mode: str
     valid name go, and one row per city stays. ``mode="ascii"`` with
     ``min_typo_length=1`` is the plainest form of the rules; folding accents first and
     a least length avoid matches between names that lost their letters.
+
+    The rows are read twice, once to list their names and once to apply the decisions,
+    however many steps there are.
     """
     dictionary = dictionary if dictionary is not None else city_dictionary(df.sparkSession)
-    step = standardise_places(df, mode)
-    step = dictionary_match(step, dictionary, spaceless)
-    step = dictionary_match(step, dictionary, soundex_long)
-    step = typo_match(step, "city", ATTRIBUTES, "id", k=2, min_length=min_typo_length)
-    step = drop_containers(step, "city", "region")
-    return smart_dedup(step, "city", "region", "id")
+    rows = standardise_places(df, mode)
+    names = name_table(rows, "city", ATTRIBUTES, "id")
+    decisions = repair_decisions(names, dictionary, min_typo_length).withColumnsRenamed(
+        {c: f"_{c}" for c in ("city", *ATTRIBUTES)}
+    )
+    broken = F.col("region").isNull()
+    joined = rows.join(decisions, F.col("city") == F.col("bad"), "left").filter(
+        ~(broken & F.coalesce(F.col("drop"), F.lit(False)))
+    )
+    take = broken & F.col("_city").isNotNull()
+    decided = joined.select(*[
+        F.when(take, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in ("city", *ATTRIBUTES) else F.col(c)
+        for c in rows.columns
+    ])
+    return smart_dedup(decided, "city", "region", "id")
