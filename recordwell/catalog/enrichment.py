@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from recordwell.catalog.registry import HOSPITALS, PLACES, query, table
@@ -95,18 +93,26 @@ def _(spark, folder):
 # ---------------------------------------------------------------- model batches
 
 
-def offline_model(prompt: str) -> str:
-    """Answers a repair prompt by rule: names with a digit are junk, others get a region by initial."""
-    rows = json.loads(prompt[prompt.index("ROWS:\n") + 6:])
-    out = []
-    for row in rows:
-        city = row["city"] or ""
-        if any(ch.isdigit() for ch in city):
-            out.append({"id": row["id"], "city": city, "region": None, "province": None, "action": "DELETE"})
-        else:
-            out.append({"id": row["id"], "city": city.upper(), "region": "Region " + city[:1].upper(),
-                        "province": None, "action": "UPDATE"})
-    return json.dumps(out, ensure_ascii=False)
+def offline_model():
+    """A model that answers repair prompts by rule: names with a digit are junk, others get a region by initial.
+
+    Made inside a function, so that tasks need not import this package to run it.
+    """
+    import json
+
+    def answer(prompt: str) -> str:
+        out = []
+        for row in json.loads(prompt[prompt.index("ROWS:\n") + 6:]):
+            city = row["city"] or ""
+            junk = any(ch.isdigit() for ch in city)
+            out.append({
+                "id": row["id"], "city": city if junk else city.upper(),
+                "region": None if junk else "Region " + city[:1].upper(), "province": None,
+                "action": "DELETE" if junk else "UPDATE",
+            })
+        return json.dumps(out, ensure_ascii=False)
+
+    return answer
 
 
 @query("batch_prompts", f"WITH p AS ({PLACES.sql}), d AS (SELECT id, city, (row_number() OVER (ORDER BY id) - 1) // 20 AS batch_id FROM p WHERE region IS NULL) "
@@ -121,7 +127,7 @@ def _(spark, folder):
        "CASE WHEN region IS NULL THEN 'Region ' || upper(left(city, 1)) ELSE region END AS region, "
        "CASE WHEN region IS NULL THEN NULL ELSE province END AS province FROM p WHERE NOT (region IS NULL AND regexp_matches(city, '[0-9]'))")
 def _(spark, folder):
-    return inference.repair_once(PLACES.frame(spark, folder), offline_model)
+    return inference.repair_once(PLACES.frame(spark, folder), offline_model())
 
 
 _ACTIONS = ("SELECT l_orderkey AS id, l_linenumber AS position, 'C' || CAST(l_partkey AS VARCHAR) AS city, "
@@ -168,4 +174,4 @@ def _(spark, folder):
        "count(*) FILTER (region IS NULL AND NOT regexp_matches(city, '[0-9]')) AS region_found FROM p")
 def _(spark, folder):
     before = PLACES.frame(spark, folder)
-    return change_statistics(before, inference.repair_once(before, offline_model), "id", ["city", "region"])
+    return change_statistics(before, inference.repair_once(before, offline_model()), "id", ["city", "region"])

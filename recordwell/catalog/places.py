@@ -12,6 +12,7 @@ from recordwell.operators.edits import edit_distance_pairs, typo_match
 from recordwell.operators.fill import self_fill
 from recordwell.operators.keys import smart_dedup
 from recordwell.plans import places as plan
+from recordwell.session import cut_lineage
 
 # ---------------------------------------------------------------- statements
 
@@ -233,7 +234,7 @@ _WORDS = (
        "SELECT word, known, CAST(distance AS INT) AS distance FROM pairs "
        "QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, uses DESC, known) = 1")
 def _(spark, folder):
-    words = (
+    words = cut_lineage(
         table(spark, folder, "documents")
         .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("w"))
         .filter(F.length("w") >= 6).groupBy("w").agg(F.count("*").alias("uses"))

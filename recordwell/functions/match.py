@@ -23,7 +23,7 @@ def soundex_long(c: ColumnOrName) -> Column:
         digits = F.translate(letters, LETTERS, SOUNDEX_DIGITS)
         runs = F.regexp_replace(F.translate(digits, "0", ""), r"([1-6])\1+", "$1")
         # the first letter stands for itself, so its own digit goes
-        tail = F.regexp_replace(F.concat(F.substring(digits, 1, 1), F.lit(":"), runs), r"^(?:0:|([1-6]):\1)", "")
+        tail = F.regexp_replace(F.concat(F.substring(digits, 1, 1), F.lit(":"), runs), r"^(?:0?:|([1-6]):\1)", "")
         return F.concat(F.substring(letters, 1, 1), tail)
 
     def padded(text: Column) -> Column:
@@ -92,13 +92,16 @@ def lcs_length(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.when((n == 0) | (F.length(b) == 0), F.lit(0)).otherwise(unset)
 
 
+def _similarity(total: Column, apart: Column) -> Column:
+    """Similarity 0..100 (rounded half to even) of texts of summed length ``total``, ``apart`` insertions and deletions away."""
+    return F.bround(F.lit(100.0) * (total - apart) / total).cast("int")
+
+
 def indel_similarity(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Similarity 0..100 (rounded half to even): twice the common subsequence over both lengths."""
+    """Similarity 0..100: twice the longest common subsequence over both lengths."""
     a, b = _col(a), _col(b)
     total = F.length(a) + F.length(b)
-    return F.when(total == 0, F.lit(100)).otherwise(
-        F.bround(F.lit(200.0) * lcs_length(a, b) / total).cast("int")
-    )
+    return F.when(total == 0, F.lit(100)).otherwise(_similarity(total, total - lcs_length(a, b) * 2))
 
 
 def least_ratio(threshold: int) -> float:
@@ -115,16 +118,26 @@ def edit_budget(a: ColumnOrName, b: ColumnOrName, threshold: int) -> Column:
 def is_similar(a: ColumnOrName, b: ColumnOrName, threshold: int = 85) -> Column:
     """``indel_similarity > threshold``, cheap tests first.
 
-    Edit distance never exceeds the insert/delete distance and is at least half of it,
-    so the built-in ``levenshtein`` settles most pairs; only the rest count the common
+    With e edits (the built-in ``levenshtein``) and a length difference of d, the
+    insert/delete distance lies between e, rounded up to the parity of the summed
+    length, and 2e - d. That settles nearly every pair; the rest count the common
     subsequence.
     """
     a, b = _col(a), _col(b)
-    budget = edit_budget(a, b, threshold)
-    edits = F.call_function("levenshtein", a, b, budget)
-    return (
-        F.when(a == b, F.lit(True))
-        .when(edits < 0, F.lit(False))
-        .when(edits * 2 < budget, F.lit(True))
-        .otherwise(indel_similarity(a, b) > threshold)
+    measured = F.struct(
+        F.call_function("levenshtein", a, b, edit_budget(a, b, threshold)).alias("edits"),
+        (F.length(a) + F.length(b)).alias("total"),
+        F.abs(F.length(a) - F.length(b)).alias("gap"),
     )
+
+    def verdict(m: Column) -> Column:
+        most = m["edits"] * 2 - m["gap"]
+        least = m["edits"] + F.pmod(m["edits"] + m["total"], F.lit(2))
+        return (
+            F.when(m["total"] == 0, F.lit(True))
+            .when(m["edits"] < 0, F.lit(False))
+            .when(_similarity(m["total"], most) > threshold, F.lit(True))
+            .when(_similarity(m["total"], least) <= threshold, F.lit(False))
+        )
+
+    return F.coalesce(let(measured, verdict), indel_similarity(a, b) > threshold)

@@ -13,11 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordwell.functions.text import let
-from recordwell.session import cut_lineage
+from recordwell.session import broadcast_if_small, cut_lineage
 
 #: Names up to this length use deletion variants (a few hundred keys), longer ones pieces.
 SHORT = 30
 
+#: Up to this many keys of the right-hand names are broadcast; more are shuffled.
+BROADCAST_KEYS = 500_000
+
 
 def _without(text: Column, position: Column) -> Column:
     return F.concat(text.substr(F.lit(1), position - 1), text.substr(position + 1, F.length(text)))
@@ -111,7 +114,7 @@ def edit_distance_pairs(left: DataFrame, right: DataFrame, left_name: str, right
     rhs = right.select("*", F.explode(right_keys).alias("_rkey"))
     distance = F.levenshtein(a, b, k)
     return (
-        lhs.join(rhs, (F.col("_key") == F.col("_rkey")) & distance.between(1, k))
+        lhs.join(broadcast_if_small(rhs, BROADCAST_KEYS), (F.col("_key") == F.col("_rkey")) & distance.between(1, k))
         .withColumn("distance", distance)
         .drop("_key", "_rkey")
     )

@@ -109,7 +109,7 @@ def dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "id"
     rows = keys.count()
     wanted = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_bucket))
     wanted = min(wanted, MAX_BUCKETS, max(rows, 1))
-    every = max(1, rows // sample_rows)
+    every = max(1, rows // max(sample_rows, 20 * wanted))
     sample = keys.filter(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).orderBy("k").collect()
     cuts = sorted({len(sample) * i // wanted for i in range(1, wanted)} - {0})
     kind = keys.schema["k"].dataType

@@ -63,10 +63,10 @@ def sample_links(left: DataFrame, left_id: str, k: Column, right: DataFrame, rig
     domain = right.agg(
         F.count("*").alias("n"), F.min(right_id).alias("low"), F.max(right_id).alias("high")
     ).first()
-    if domain.n == 0:
-        raise ValueError("no ids to link to")
+    # without ids there is nothing to draw: one place, and none taken
+    k = k if domain.n else F.lit(0)
     drawn = left.select(
-        F.col(left_id).alias("_left"), sample_positions(F.col(left_id), k, domain.n, seed).alias("_places")
+        F.col(left_id).alias("_left"), sample_positions(F.col(left_id), k, max(domain.n, 1), seed).alias("_places")
     ).select(F.col("_left").alias(left_name), F.explode("_places").alias("_at"))
     if domain.low == 1 and domain.high == domain.n:
         links = drawn.withColumn(right_name, (F.col("_at") + 1).cast(right.schema[right_id].dataType))

@@ -132,7 +132,8 @@ def fuzzy_dedup(df: DataFrame, name: str, blocks: Sequence[str], id_col: str,
     copies = [F.struct(*[F.col(b) for b in blocks]), F.col("_name")]
     best = keep_best(rated, copies, [F.desc("_filled"), F.col(id_col)])
     if threshold is not None:
-        nodes = best.select(*blocks, "_name", F.col(id_col).alias("id"), "_filled", "_visit")
+        # names only, written once: the pair search reads them several times
+        nodes = cut_lineage(best.select(*blocks, "_name", F.col(id_col).alias("id"), "_filled", "_visit"))
         pairs = similar_pairs(nodes, "_name", blocks, threshold, ["id", "_filled", "_visit"])
         swap = F.col("a.id") > F.col("b.id")
         one = F.when(swap, F.col("b")).otherwise(F.col("a"))

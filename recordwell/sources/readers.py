@@ -146,12 +146,19 @@ def read_json_objects(
         .option("multiLine", multi_line).option("primitivesAsString", True)
         .json(path)
     )
+    # an array with an item that is no object comes back whole as corrupt text: take it apart item by item
+    items = F.transform(
+        F.from_json("_corrupt", T.ArrayType(T.StringType())),
+        lambda item: F.from_json(item, schema, {"primitivesAsString": "true"}),
+    )
+    whole = F.array(F.struct(*[F.col(f"`{f}`").alias(f) for f in fields]))
+    rows = rows.select(F.explode(F.when(F.col("_corrupt").isNull(), whole).otherwise(items)).alias("r")).select("r.*")
     if with_order:
         rows = rows.withColumn(ORDER, F.monotonically_increasing_id())
     known = F.lit(False)
     for f in fields:
         known = known | F.col(f"`{f}`").isNotNull()
-    return rows.filter(known).drop("_corrupt")
+    return rows.filter(known)
 
 
 def read_dirty(df: DataFrame, limit: int | None = None, id_col: str = "id",
