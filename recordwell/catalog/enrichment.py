@@ -11,6 +11,7 @@ from recordwell.operators.checks import change_statistics, dirty_count
 from recordwell.operators.fill import apply_actions, fill_missing, split_by_cache
 from recordwell.operators.keys import minus_ids
 from recordwell.operators.sampling import hash_between, sample_links
+from recordwell.plans.stages import enrich_hospitals
 
 _MISSING = (
     "list_filter([CASE WHEN address IS NULL OR address = '' THEN 'address' END, CASE WHEN phone IS NULL OR phone = '' THEN 'phone' END, "
@@ -175,3 +176,89 @@ def _(spark, folder):
 def _(spark, folder):
     before = PLACES.frame(spark, folder)
     return change_statistics(before, inference.repair_once(before, offline_model()), "id", ["city", "region"])
+
+
+def offline_search():
+    """A model that answers attribute prompts from the length of the name."""
+    import json
+
+    def answer(prompt: str) -> str:
+        n = len(prompt.split("Name: ")[1].split("\n")[0])
+        return json.dumps({
+            "address": f"bd {n}", "phone": "0500" if n % 2 else "call", "email": f"x{n}@mail.ma",
+            "website": "www.found.ma" if n % 3 else "nowhere", "beds": n * 1000, "source_quality": "low",
+        })
+
+    return answer
+
+
+_SEARCH = (
+    f"h AS ({HOSPITALS.sql}), q AS (SELECT id, length(name) AS n FROM h WHERE len({_MISSING}) >= 2), "
+    "f AS (SELECT id, 'bd ' || CAST(n AS VARCHAR) AS address, CASE WHEN n % 2 = 1 THEN '0500' END AS phone, "
+    "'x' || CAST(n AS VARCHAR) || '@mail.ma' AS email, CASE WHEN n % 3 > 0 THEN 'https://www.found.ma' END AS website, "
+    "CASE WHEN n * 1000 <= 10000 THEN CAST(n * 1000 AS INT) END AS beds FROM q)"
+)
+
+
+@query("search_attributes", f"WITH {_SEARCH} SELECT * FROM f")
+def _(spark, folder):
+    return inference.search_attributes(HOSPITALS.frame(spark, folder), None, offline_search())
+
+
+def offline_capacity():
+    """A model that estimates only even ids, from the id."""
+    import json
+    import re
+
+    def answer(prompt: str) -> str:
+        ids = [int(i) for i in re.findall(r"- ID ([0-9]+): ", prompt)]
+        # out of order: replies are matched by id, never by place
+        return json.dumps({"hospitals": [
+            {"id": i, "service_count": 1 + i % 7, "equipment_count": 2 + i % 5, "beds": 10 + i % 90}
+            for i in reversed(ids) if i % 2 == 0
+        ]})
+
+    return answer
+
+
+@query("capacity_estimates", f"WITH h AS ({HOSPITALS.sql}) SELECT id, CAST(1 + id % 7 AS INT) AS service_count, "
+       "CAST(2 + id % 5 AS INT) AS equipment_count, CAST(10 + id % 90 AS INT) AS beds FROM h WHERE id % 2 = 0")
+def _(spark, folder):
+    return inference.capacity_estimates(HOSPITALS.frame(spark, folder), offline_capacity())
+
+
+_TIER = (
+    "CASE WHEN contains(lower(type), 'chu') OR contains(lower(type), 'universitaire') OR contains(lower(type), 'régional') THEN 'major' "
+    "WHEN contains(lower(type), 'clinique') THEN 'clinic' ELSE 'local' END"
+)
+
+
+@query("enrich_beds", f"WITH {_SEARCH}, t AS (SELECT h.*, {_TIER} AS tier FROM h), b AS (SELECT id, "
+       "CASE tier WHEN 'major' THEN 300 WHEN 'clinic' THEN 30 ELSE 10 END AS low, "
+       "CASE tier WHEN 'major' THEN 800 WHEN 'clinic' THEN 150 ELSE 60 END AS high FROM t) "
+       "SELECT h.id, coalesce(nullif(h.phone, ''), f.phone, h.phone) AS phone, coalesce(nullif(h.email, ''), f.email, h.email) AS email, "
+       "CAST(coalesce(nullif(h.beds, 0), nullif(f.beds, 0), CASE WHEN h.id % 2 = 0 THEN 10 + h.id % 90 ELSE "
+       f"low + {_number_sql(chr(39) + 'links' + chr(39), chr(39) + 'beds' + chr(39), 'h.id')} % (high - low + 1) END) AS INT) AS beds "
+       "FROM h JOIN b ON h.id = b.id LEFT JOIN f ON h.id = f.id")
+def _(spark, folder):
+    ids = table(spark, folder, "nation").select((F.col("n_nationkey") + 1).alias("id"))
+    out = enrich_hospitals(HOSPITALS.frame(spark, folder), ids, ids, search_model=offline_search(),
+                           capacity_model=offline_capacity())
+    return out["hospitals"].select("id", "phone", "email", "beds")
+
+
+_LINKS = (
+    f"h AS ({HOSPITALS.sql}), t AS (SELECT id, {_TIER} AS tier FROM h), "
+    "b AS (SELECT id, CASE tier WHEN 'major' THEN 10 WHEN 'clinic' THEN 5 ELSE 1 END AS low, "
+    "CASE tier WHEN 'major' THEN 20 WHEN 'clinic' THEN 12 ELSE 5 END AS high FROM t)"
+)
+
+
+@query("service_links", f"WITH {_LINKS} SELECT id AS hospital_id, low + {_number_sql(chr(39) + 'links' + chr(39), chr(39) + 'services' + chr(39), 'id')} % (high - low + 1) AS services, "
+       f"low + {_number_sql(chr(39) + 'links' + chr(39), chr(39) + 'services' + chr(39), 'id')} % (high - low + 1) AS different_services FROM b")
+def _(spark, folder):
+    """Every hospital has as many services as its size class drew, all different."""
+    ids = table(spark, folder, "nation").select((F.col("n_nationkey") + 1).alias("id"))
+    out = enrich_hospitals(HOSPITALS.frame(spark, folder), ids, ids)
+    return out["hospital_services"].groupBy("hospital_id").agg(
+        F.count("*").alias("services"), F.count_distinct("service_id").alias("different_services"))

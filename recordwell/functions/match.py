@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from recordwell.functions.text import ColumnOrName, _col, let
 
@@ -115,13 +117,12 @@ def edit_budget(a: ColumnOrName, b: ColumnOrName, threshold: int) -> Column:
     return F.floor(total * (1.0 - least_ratio(threshold)) + 1e-9).cast("int")
 
 
-def is_similar(a: ColumnOrName, b: ColumnOrName, threshold: int = 85) -> Column:
-    """``indel_similarity > threshold``, cheap tests first.
+def similar_by_bounds(a: ColumnOrName, b: ColumnOrName, threshold: int = 85) -> Column:
+    """``indel_similarity > threshold`` as far as edit distance can tell, else null.
 
     With e edits (the built-in ``levenshtein``) and a length difference of d, the
     insert/delete distance lies between e, rounded up to the parity of the summed
-    length, and 2e - d. That settles nearly every pair; the rest count the common
-    subsequence.
+    length, and 2e - d.
     """
     a, b = _col(a), _col(b)
     measured = F.struct(
@@ -140,4 +141,44 @@ def is_similar(a: ColumnOrName, b: ColumnOrName, threshold: int = 85) -> Column:
             .when(_similarity(m["total"], least) <= threshold, F.lit(False))
         )
 
-    return F.coalesce(let(measured, verdict), indel_similarity(a, b) > threshold)
+    return let(measured, verdict)
+
+
+def lcs_batches() -> Callable[[Column, Column], Column]:
+    """``lcs_length`` in Arrow batches: many times faster than the expression on many pairs.
+
+    Null where either text is null. Made inside a function, so that tasks need not
+    import this package to run it.
+    """
+    import pandas as pd
+
+    def length(a: str, b: str) -> int:
+        places: dict[str, int] = {}
+        for i, letter in enumerate(a):
+            places[letter] = places.get(letter, 0) | 1 << i
+        full = (1 << len(a)) - 1
+        row = full
+        for letter in b:
+            kept = row & places.get(letter, 0)
+            row = ((row + kept) | (row - kept)) & full
+        return len(a) - row.bit_count()
+
+    def batch(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else length(x, y) for x, y in zip(a, b)], dtype="Int32")
+
+    batch.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+    return F.pandas_udf(batch, "int")
+
+
+def keep_similar(pairs: DataFrame, a: str, b: str, threshold: int = 85) -> DataFrame:
+    """The pairs whose similarity exceeds ``threshold``.
+
+    Bounds settle most pairs inside the JVM; only undecided texts are handed to the
+    batched common-subsequence count.
+    """
+    open_ = F.col("_sure").isNull()
+    total = F.length(a) + F.length(b)
+    judged = pairs.withColumn("_sure", similar_by_bounds(a, b, threshold)).filter(F.coalesce("_sure", F.lit(True)))
+    counted = judged.withColumn("_lcs", lcs_batches()(F.when(open_, F.col(a)), F.when(open_, F.col(b))))
+    good = F.coalesce(F.col("_sure"), _similarity(total, total - F.col("_lcs") * 2) > threshold)
+    return counted.filter(good).drop("_sure", "_lcs")

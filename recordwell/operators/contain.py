@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordwell.functions.text import let
 from recordwell.operators.edits import name_table
-from recordwell.session import broadcast_if_small
+from recordwell.session import broadcast_if_small, cut_lineage
 
 
 def needle_lengths(needles: DataFrame, column: str) -> list[int]:
     """The distinct needle lengths: at most one number per possible name length."""
-    rows = needles.select(F.length(column).alias("n")).filter("n > 0").distinct().collect()
-    return sorted(r.n for r in rows)
+    rows = needles.select(F.length(column).alias("n")).distinct().collect()
+    return sorted(r.n for r in rows) or [1]
 
 
 def substring_keys(text: Column, lengths: Sequence[int]) -> Column:
@@ -39,12 +39,12 @@ def containment_pairs(hay: DataFrame, hay_name: str, needles: DataFrame, needle_
     """Pairs of rows whose haystack name contains the needle name (each pair once).
 
     Give distinct needle names; haystack names should be distinct too, copies are
-    joined back by the caller.
+    joined back by the caller. The needles are written once, because their lengths and
+    number are looked at before the join.
     """
+    needles = cut_lineage(needles.filter(F.length(needle_name) > 0))
     lengths = needle_lengths(needles, needle_name)
-    if not lengths:
-        lengths = [1]
-    small = needles.filter(F.length(needle_name) > 0).withColumn("_nkey", F.xxhash64(needle_name))
+    small = needles.withColumn("_nkey", F.xxhash64(needle_name))
     exploded = hay.select("*", F.explode(substring_keys(F.col(hay_name), lengths)).alias("_hkey"))
     hit = (F.col("_hkey") == F.col("_nkey")) & F.col(hay_name).contains(F.col(needle_name))
     return exploded.join(broadcast_if_small(small), hit).drop("_hkey", "_nkey")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordwell.functions.text import let
+from recordwell.operators.fill import attach
 from recordwell.session import broadcast_if_small, cut_lineage
 
 #: Names up to this length use deletion variants (a few hundred keys), longer ones pieces.
@@ -155,7 +156,7 @@ def typo_match(df: DataFrame, name: str, attributes: Sequence[str], id_col: str
     The donor is the nearest name, then the lowest id.
     """
     best = nearest_names(name_table(df, name, attributes, id_col), k, min_length)
-    joined = df.join(best, F.col(name) == F.col("bad"), "left")
+    joined = attach(df, best, F.col(name), "bad")
     take = F.col(attributes[0]).isNull() & F.col("good").isNotNull()
     values = {name: F.col("good")} | {c: F.col("donor")[c] for c in attributes}
     return joined.select(*[

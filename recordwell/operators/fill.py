@@ -9,15 +9,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordwell.functions.text import fold
 
 
+def attach(df: DataFrame, right: DataFrame, key: Column, right_key: str) -> DataFrame:
+    """Left join to a table with one row per key, safe for a key that a third of the rows share.
+
+    The join runs on a copy of the key that is dropped afterwards. Nothing downstream
+    can then rely on rows being placed by that key, which leaves adaptive execution free
+    to split the hot partition, and a later grouping by the same key reduces map-side
+    before it moves rows.
+    """
+    return df.withColumn("_copy", key).join(right, F.col("_copy") == F.col(right_key), "left").drop("_copy")
+
+
 def lookup_key(df: DataFrame, dimension: DataFrame, on: str, id_col: str = "id",
                target: str = "place_id") -> DataFrame:
     """Add the dimension's id for the row's key; no match gives null, no row is lost.
 
-    The dimension has one row per key, so a hot key is split by adaptive execution on
-    this side alone.
+    The dimension has one row per key.
     """
     right = dimension.select(F.col(on).alias("_key"), F.col(id_col).alias(target))
-    return df.join(right, df[on] == right["_key"], "left").drop("_key")
+    return attach(df, right, F.col(on), "_key").drop("_key")
 
 
 def first_donor(df: DataFrame, key: Column, attributes: Sequence[str], order_by: str) -> DataFrame:
@@ -36,9 +46,9 @@ def first_donor(df: DataFrame, key: Column, attributes: Sequence[str], order_by:
 def gap_fill(df: DataFrame, key: str, attributes: Sequence[str], order_by: str) -> DataFrame:
     """Fill each null attribute on its own from the first known row of the same key."""
     donor = first_donor(df, F.col(key), attributes, order_by)
-    joined = df.join(donor, df[key] == donor["_key"], "left")
+    joined = attach(df, donor, F.col(key), "_key")
     return joined.select(*[
-        F.coalesce(F.col(c), F.col("_donor")[c]).alias(c) if c in attributes else df[c]
+        F.coalesce(F.col(c), F.col("_donor")[c]).alias(c) if c in attributes else F.col(c)
         for c in df.columns
     ])
 
@@ -50,7 +60,7 @@ def self_fill(df: DataFrame, key: str, attributes: Sequence[str], order_by: str
     Keys are compared without case and accents; ``only`` limits which rows are filled.
     """
     donor = first_donor(df, fold(key), attributes, order_by)
-    joined = df.withColumn("_fold", fold(key)).join(donor, F.col("_fold") == F.col("_key"), "left")
+    joined = attach(df, donor, fold(key), "_key")
     take = F.col(attributes[0]).isNull() & F.col("_donor").isNotNull()
     if only is not None:
         take = take & F.coalesce(only, F.lit(False))

@@ -126,7 +126,7 @@ def reply_actions(replies: DataFrame) -> DataFrame:
 def repair_once(df: DataFrame, model: Model, id_col: str = "id", size: int = REPAIR_BATCH,
                 parallel: int | None = None) -> DataFrame:
     """One pass over every row without a region: batch, ask, check, apply."""
-    dirty = df.filter(F.col("region").isNull())
+    dirty = cut_lineage(df.filter(F.col("region").isNull()).select(id_col, "city"))
     prompts = batches(dirty, [id_col, "city"], id_col, size).select(
         "batch_id", repair_prompt(F.col("records")).alias("prompt")
     )
@@ -209,7 +209,8 @@ def search_attributes(rows: DataFrame, cache: DataFrame | None, model: Model | N
 def capacity_estimates(rows: DataFrame, model: Model, id_col: str = "id", size: int = CAPACITY_BATCH,
                        parallel: int | None = None) -> DataFrame:
     """Model estimates by facility id (not by place in the reply); ids asked for only, first answer wins."""
-    prompts = batches(rows, [id_col, "name", "type"], id_col, size).select(
+    asked = cut_lineage(rows.select(id_col, "name", "type"))
+    prompts = batches(asked, [id_col, "name", "type"], id_col, size).select(
         "batch_id", capacity_prompt(F.col("records")).alias("prompt")
     )
     replies = cut_lineage(run_model(prompts, model, parallel=parallel))

@@ -9,14 +9,18 @@ thresholds of 80 and more.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordwell.functions.match import edit_budget, is_similar, least_ratio
+from recordwell.functions.match import edit_budget, keep_similar, least_ratio
 from recordwell.operators.columns import completeness
 from recordwell.operators.keys import keep_best, minus_ids
 from recordwell.session import cut_lineage
 
+#: Duels of one group that a single task may stream through.
+GROUP_EDGES = 1_000_000
+
 
 def _needed_overlap(total: Column, threshold: int) -> Column:
     """Fewest two-letter grams that similar names of this summed length share.
@@ -77,39 +81,69 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     )
     budget = edit_budget("a.name", "b.name", threshold)
     plausible = candidates.filter(F.call_function("levenshtein", F.col("a.name"), F.col("b.name"), budget) >= 0)
-    return (
-        plausible.select("block", "a", "b").distinct()
-        .filter(is_similar("a.name", "b.name", threshold))
+    return keep_similar(plausible.select("block", "a", "b").distinct(), "a.name", "b.name", threshold)
+
+
+def _settle_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(losers settled now, duels still open).
+
+    A row's first possible loss is real when its winner cannot be gone by then, that is
+    when the winner's own first possible loss comes later.
+    """
+    first = edges.groupBy("l").agg(F.min("t").alias("lt"))
+    of_winner = first.select(F.col("l").alias("w"), F.col("lt").alias("wt"))
+    open_ = edges.join(first, "l").join(of_winner, "w", "left")
+    settled = (F.col("t") == F.col("lt")) & (F.col("wt").isNull() | (F.col("t") < F.col("wt")))
+    gone = cut_lineage(open_.filter(settled).select("l", F.col("t").alias("gt")))
+    as_winner = gone.select(F.col("l").alias("w"), "gt")
+    rest = (
+        edges.join(gone.select("l"), "l", "left_anti")
+        .join(as_winner, "w", "left")
+        .filter(F.col("gt").isNull() | (F.col("t") < F.col("gt")))
+        .select("g", "w", "l", "t")
     )
+    return gone.select("l"), cut_lineage(rest)
 
 
-def eliminate(edges: DataFrame) -> DataFrame:
+def _play(edges: DataFrame) -> DataFrame:
+    """Losers of duels played one by one, each group inside one task, streamed in time order."""
+    def sweep(frames):
+        import pandas as pd
+
+        gone = set()
+        for frame in frames:
+            lost = []
+            for winner, loser in zip(frame["w"].tolist(), frame["l"].tolist()):
+                if winner not in gone and loser not in gone:
+                    gone.add(loser)
+                    lost.append(loser)
+            yield pd.DataFrame({"l": pd.Series(lost, dtype=frame["l"].dtype)})
+
+    kind = edges.schema["l"].dataType.simpleString()
+    ordered = edges.repartition("g").sortWithinPartitions("t").select("w", "l")
+    return ordered.mapInPandas(sweep, f"l {kind}")
+
+
+def eliminate(edges: DataFrame, group_edges: int = GROUP_EDGES) -> DataFrame:
     """Play out ordered duels and return the losers (column ``l``).
 
-    ``edges`` holds duels (winner ``w``, loser ``l``, unique time ``t``); a duel counts
-    only if both are still there at its time. Every round settles all duels whose
-    outcome no earlier open duel can change: a row's first possible loss is real when its
-    winner cannot be gone by then. The result equals playing them one by one; rounds
-    follow the longest chain of dependent duels, not their number.
+    ``edges`` holds duels (group ``g``, winner ``w``, loser ``l``, unique time ``t``); a
+    duel counts only if both are still there at its time, and groups do not meet. Groups
+    of at most ``group_edges`` duels are streamed through a task each. Larger ones are
+    settled in rounds over all tasks until they are small or empty; a round settles
+    every duel that no earlier open duel can change, so the result is the same.
     """
-    edges = cut_lineage(edges.select("w", "l", "t"))
-    removed = edges.select("l").limit(0)
+    edges = cut_lineage(edges.select("g", "w", "l", "t"))
+    lost = []
     while True:
-        first = edges.groupBy("l").agg(F.min("t").alias("lt"))
-        of_winner = first.select(F.col("l").alias("w"), F.col("lt").alias("wt"))
-        open_ = edges.join(first, "l").join(of_winner, "w", "left")
-        settled = (F.col("t") == F.col("lt")) & (F.col("wt").isNull() | (F.col("t") < F.col("wt")))
-        gone = cut_lineage(open_.filter(settled).select("l", F.col("t").alias("gt")))
-        if gone.isEmpty():
-            return removed
-        removed = removed.union(gone.select("l"))
-        left = gone.select(F.col("l").alias("w"), "gt")
-        edges = cut_lineage(
-            edges.join(gone.select("l"), "l", "left_anti")
-            .join(left, "w", "left")
-            .filter(F.col("gt").isNull() | (F.col("t") < F.col("gt")))
-            .select("w", "l", "t")
-        )
+        large = edges.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > group_edges).select("g")
+        large = cut_lineage(large)
+        if large.isEmpty():
+            lost.append(_play(edges))
+            return reduce(DataFrame.union, lost)
+        lost.append(_play(edges.join(large, "g", "left_anti")))
+        gone, edges = _settle_round(edges.join(large, "g", "left_semi"))
+        lost.append(gone)
 
 
 def fuzzy_dedup(df: DataFrame, name: str, blocks: Sequence[str], id_col: str,
@@ -138,9 +172,10 @@ def fuzzy_dedup(df: DataFrame, name: str, blocks: Sequence[str], id_col: str,
         swap = F.col("a.id") > F.col("b.id")
         one = F.when(swap, F.col("b")).otherwise(F.col("a"))
         two = F.when(swap, F.col("a")).otherwise(F.col("b"))
-        duels = pairs.select(one.alias("i"), two.alias("j"))
+        duels = pairs.select(F.xxhash64("block").alias("g"), one.alias("i"), two.alias("j"))
         first_wins = F.col("i._filled") >= F.col("j._filled")
         edges = duels.select(
+            "g",
             F.when(first_wins, F.col("i.id")).otherwise(F.col("j.id")).alias("w"),
             F.when(first_wins, F.col("j.id")).otherwise(F.col("i.id")).alias("l"),
             F.struct(F.col("i._visit").alias("i"), F.col("j._visit").alias("j")).alias("t"),

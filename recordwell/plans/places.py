@@ -14,7 +14,7 @@ from recordwell.operators.checks import junk_place
 from recordwell.operators.columns import advance_status
 from recordwell.operators.contain import containers
 from recordwell.operators.edits import name_table, nearest_names
-from recordwell.operators.fill import self_fill
+from recordwell.operators.fill import attach, self_fill
 from recordwell.operators.keys import keep_best, smart_dedup
 from recordwell.session import cut_lineage
 
@@ -102,9 +102,7 @@ def dictionary_match(df: DataFrame, dictionary: DataFrame, key, name: str = "cit
     entries = entries.groupBy("_entry_key").agg(
         F.min(F.struct("entry", "name_clean", "region", "province")).alias("_entry")
     )
-    joined = df.withColumn("_row_key", key(F.col(name))).join(
-        entries, F.col("_row_key") == F.col("_entry_key"), "left"
-    )
+    joined = attach(df, entries, key(F.col(name)), "_entry_key")
     take = F.col("region").isNull() & F.col("_entry").isNotNull()
     values = {name: "name_clean", "region": "region", "province": "province"}
     return joined.select(*[
@@ -176,7 +174,7 @@ def repair_places(df: DataFrame, dictionary: DataFrame | None = None, mode: str
         {c: f"_{c}" for c in ("city", *ATTRIBUTES)}
     )
     broken = F.col("region").isNull()
-    joined = rows.join(decisions, F.col("city") == F.col("bad"), "left").filter(
+    joined = attach(rows, decisions, F.col("city"), "bad").filter(
         ~(broken & F.coalesce(F.col("drop"), F.lit(False)))
     )
     take = broken & F.col("_city").isNotNull()

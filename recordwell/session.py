@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -52,9 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget how it was made."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    What follows depends on the files, not on how they were made, so a lost executor
+    costs a re-read. Unlike ``checkpoint()`` the planner sees the true size (estimates
+    do not compound over the rounds of a loop) and unused columns are not read.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/recordwell/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -127,7 +127,8 @@ def sweep(duels):
     return gone
 
 
-def test_eliminate_equals_playing_in_order(spark):
+@pytest.mark.parametrize("group_edges", [0, 40, 10_000])
+def test_eliminate_equals_playing_in_order(spark, group_edges):
     rng = random.Random(11)
     for n in (5, 30, 80):
         strength = list(range(n))
@@ -136,8 +137,8 @@ def test_eliminate_equals_playing_in_order(spark):
         order = list(pairs)
         rng.shuffle(order)
         duels = [(t, *((a, b) if strength[a] > strength[b] else (b, a))) for t, (a, b) in enumerate(order)]
-        df = spark.createDataFrame(duels, "t int, w int, l int")
-        got = [r.l for r in eliminate(df).collect()]
+        df = spark.createDataFrame(duels, "t int, w int, l int").withColumn("g", F.lit(1))
+        got = [r.l for r in eliminate(df, group_edges).collect()]
         assert sorted(got) == sorted(sweep(duels))
 
 

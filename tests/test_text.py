@@ -162,9 +162,14 @@ def test_similarity_against_plain_definition(spark):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
     got = {r.i: (r.l, r.s, r.m, r.n) for r in df.select(
         "i", match.lcs_length("a", "b").alias("l"), match.indel_similarity("a", "b").alias("s"),
-        match.is_similar("a", "b", 85).alias("m"), match.is_similar("a", "b", 90).alias("n")).collect()}
+        match.similar_by_bounds("a", "b", 85).alias("m"), match.lcs_batches()("a", "b").alias("n")).collect()}
+    kept = {t: {r.i for r in match.keep_similar(df, "a", "b", t).collect()} for t in (80, 85, 90)}
     for i, (a, b) in enumerate(pairs):
-        assert got[i] == (lcs(a, b), ratio(a, b), ratio(a, b) > 85, ratio(a, b) > 90), (a, b)
+        assert (got[i][0], got[i][1], got[i][3]) == (lcs(a, b), ratio(a, b), lcs(a, b)), (a, b)
+        assert got[i][2] in (None, ratio(a, b) > 85), (a, b)
+        for t, found in kept.items():
+            assert (i in found) == (ratio(a, b) > t), (a, b, t)
+    assert sum(g[2] is None for g in got.values()) < len(pairs) / 4
 
 
 def test_parse_actions_rejects_whole_reply(spark):
