@@ -176,9 +176,13 @@ def keep_similar(pairs: DataFrame, a: str, b: str, threshold: int = 85) -> DataF
     Bounds settle most pairs inside the JVM; only undecided texts are handed to the
     batched common-subsequence count.
     """
+    def unless_refuted(sure: Column) -> Column:
+        return F.when(F.coalesce(sure, F.lit(True)), F.array(sure))
+
+    # exploding the verdict computes it once; as a filter it would be computed again for the next step
+    judged = pairs.select("*", F.explode(let(similar_by_bounds(a, b, threshold), unless_refuted)).alias("_sure"))
     open_ = F.col("_sure").isNull()
     total = F.length(a) + F.length(b)
-    judged = pairs.withColumn("_sure", similar_by_bounds(a, b, threshold)).filter(F.coalesce("_sure", F.lit(True)))
     counted = judged.withColumn("_lcs", lcs_batches()(F.when(open_, F.col(a)), F.when(open_, F.col(b))))
     good = F.coalesce(F.col("_sure"), _similarity(total, total - F.col("_lcs") * 2) > threshold)
     return counted.filter(good).drop("_sure", "_lcs")

@@ -64,24 +64,30 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     ranked = grams.join(usage, "gram").groupBy("block", "node").agg(
         F.array_sort(F.collect_list(F.struct("uses", "gram"))).alias("grams")
     )
-    prefix = F.slice("grams", F.lit(1), F.least(F.size("grams"), _prefix_size(word, threshold)))
-    probes = ranked.select("block", "node", F.explode(prefix).alias("g")).select(
-        "block", "node", F.xxhash64("block", F.col("g.gram")).alias("key")
+    rarest = F.slice("grams", F.lit(1), F.least(F.size("grams"), _prefix_size(word, threshold)))
+    # written once: both sides of the join read it
+    tried = cut_lineage(ranked.select("block", "node", F.transform(rarest, lambda g: g["gram"]).alias("tried")))
+    probes = tried.select("block", "node", "tried", F.explode("tried").alias("gram")).withColumn(
+        "key", F.xxhash64("block", "gram")
     )
-    left = probes.select(F.col("key"), F.col("block").alias("block"), F.col("node").alias("a"))
-    right = probes.select(F.col("key").alias("rkey"), F.col("block").alias("rblock"), F.col("node").alias("b"))
-    la, lb = F.length("a.name"), F.length("b.name")
-    near = F.abs(la - lb) <= edit_budget("a.name", "b.name", threshold)
+    left = probes.select("key", "block", "gram", F.col("tried").alias("ta"), F.col("node").alias("a"))
+    right = probes.select(
+        F.col("key").alias("rkey"), F.col("block").alias("rblock"), F.col("gram").alias("rgram"),
+        F.col("tried").alias("tb"), F.col("node").alias("b"),
+    )
+    near = F.abs(F.length("a.name") - F.length("b.name")) <= edit_budget("a.name", "b.name", threshold)
+    # a pair that shares several tried grams is taken at the smallest of them only
+    once = F.array_min(F.array_intersect("ta", "tb")) == F.col("gram")
     candidates = left.join(
         right,
         (F.col("key") == F.col("rkey"))
+        & (F.col("gram") == F.col("rgram"))
         & F.col("block").eqNullSafe(F.col("rblock"))
         & (F.col("a.name") < F.col("b.name"))
-        & near,
+        & near
+        & once,
     )
-    budget = edit_budget("a.name", "b.name", threshold)
-    plausible = candidates.filter(F.call_function("levenshtein", F.col("a.name"), F.col("b.name"), budget) >= 0)
-    return keep_similar(plausible.select("block", "a", "b").distinct(), "a.name", "b.name", threshold)
+    return keep_similar(candidates.select("block", "a", "b"), "a.name", "b.name", threshold)
 
 
 def _settle_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
