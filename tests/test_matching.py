@@ -77,15 +77,15 @@ def test_containment_join_finds_every_pair(spark):
 
 def test_drop_containers(spark, rows):
     df = spark.createDataFrame([
-        (1, "FES", "r"), (2, "AIN KADOUS FES", None), (3, "FES", None), (4, "AGADIR FES", "r"), (5, "SALE", None),
+        (1, "FES", "r"), (2, "AIN SEBAA FES", None), (3, "FES", None), (4, "AGADIR FES", "r"), (5, "SALE", None),
         (6, None, None), (7, "", "r"),
     ], "id int, city string, region string")
     assert [r[0] for r in rows(drop_containers(df, "city", "region"))] == [1, 3, 4, 5, 6, 7]
 
 
 def test_link_by_containment(spark, rows):
-    meds = spark.createDataFrame([(1, "Afric Phar"), (2, "AFRIC PHAR"), (3, "none"), (4, None), (5, "LAB")], "m int, maker string")
-    sellers = spark.createDataFrame([(7, "AFRIC-PHAR"), (8, "the afric phar sarl"), (9, "AFRIC PHARMA"), (2, "lab x"), (3, "LABO")], "s int, name string")
+    meds = spark.createDataFrame([(1, "Sud Labo"), (2, "SUD LABO"), (3, "none"), (4, None), (5, "LAB")], "m int, maker string")
+    sellers = spark.createDataFrame([(7, "SUD-LABO"), (8, "the sud labo sarl"), (9, "SUD LABORA"), (2, "lab x"), (3, "LABO")], "s int, name string")
     assert rows(link_by_containment(meds, "maker", "m", sellers, "name", "s", "s")) == [(2, 5), (8, 1), (8, 2)]
     from recordwell.functions.text import spaceless
     loose = link_by_containment(meds, "maker", "m", sellers, "name", "s", "s", key=lambda c: spaceless(F.lower(c)))
@@ -231,7 +231,7 @@ def test_split_by_cache(spark, rows):
 
 PLACES = [
     (1, "Casablanca-Settat", "Casablanca", "Casablanca (Mun.)"), (2, None, None, "casablanka"), (3, None, None, "Ksarelkebir"),
-    (4, None, None, "87 RUE OMAR"), (5, None, None, "rue x"), (6, None, None, "ain sebaa casablanca"), (7, None, None, "Rabat الرباط"),
+    (4, None, None, "87 RUE IBN"), (5, None, None, "rue x"), (6, None, None, "ain sebaa casablanca"), (7, None, None, "Rabat الرباط"),
     (8, "Fès-Meknès", "Fès", "Fès"), (9, None, None, "fes"), (10, None, None, "Ifrane"), (11, None, None, "ifrane"),
     (12, "NULL", "NULL", "Tiznit"), (13, None, None, "سلا"), (14, "Oriental", "Nador", "Nador"), (15, None, None, "Nadorr"),
 ]
@@ -261,7 +261,7 @@ def test_repair_plan_has_no_nested_loop(spark):
 def test_clean_places_in_rule_order(spark, rows):
     df = spark.createDataFrame([
         (1, "r1", "p1", "Témara (Mun.)", "PENDING"), (2, None, None, "TEMARA", "PENDING"), (3, None, None, "Ait Ouqabli آيت", "PENDING"),
-        (4, None, None, "2 RUE 5 FES", "PENDING"), (5, "r5", "p5", "FES", "PENDING"), (6, None, None, "AGADIR (Mun.)", "VALID"),
+        (4, None, None, "2 RUE 9 FES", "PENDING"), (5, "r5", "p5", "FES", "PENDING"), (6, None, None, "AGADIR (Mun.)", "VALID"),
         (7, None, None, None, "PENDING"), (8, None, None, "temara x", "VALID"),
     ], "raw_id int, region string, province string, city string, validation_status string")
     got = {r.raw_id: tuple(r)[1:] for r in clean_places(df).collect()}

@@ -19,13 +19,13 @@ def raw(tmp_path_factory):
         "Hôpital Mohamed V,Tanger,rue 1,,35.7,x,0539\nClinique Atlas,Agadir,,Clinique,30.4,-9.6,\n"
         "nan,Agadir,,,1,1,\nClinic Atlas,Agadir,bd 2,Clinique,30.4,-9.6,0528\nClinique Nord,,,Clinique,,,\n", encoding="utf-8")
     (folder / "medicaments.json").write_text(json.dumps([
-        {"SPECIALITE": "ACULAR", "SUBSTANCE ACTIVE": "KETOROLAC", "DOSAGE": "0005", "EPI": "Afric Phar", "PPV": "36,30", "PH": "22,70", "FORME": "COLLYRE"},
-        {"nom": "ALGIK", "EPI": "Nobody"}, 7, {"SPECIALITE": "nan"}, {"SPECIALITE": "ACULAR", "DOSAGE": "2"}, {"SPECIALITE": " BEMAG ", "EPI": "AFRIC PHAR"},
+        {"SPECIALITE": "OCULEX", "SUBSTANCE ACTIVE": "KETOLEX", "DOSAGE": "0005", "EPI": "Sud Labo", "PPV": "36,30", "PH": "22,70", "FORME": "COLLYRE"},
+        {"nom": "DOLIX", "EPI": "Nobody"}, 7, {"SPECIALITE": "nan"}, {"SPECIALITE": "OCULEX", "DOSAGE": "2"}, {"SPECIALITE": " MAGNEX ", "EPI": "SUD LABO"},
     ]), encoding="utf-8")
     (folder / "dispositifs.json").write_text(json.dumps([
-        {"NOM": "2B MEDICAL", "ACTIVITE": "Importation", "ADRESSE": "N 22"}, {"NOM": "  "}, "x", {"NOM": "SHARED NAME"}]), encoding="utf-8")
+        {"NOM": "ZED MEDICAL", "ACTIVITE": "Importation", "ADRESSE": "N 22"}, {"NOM": "  "}, "x", {"NOM": "SHARED NAME"}]), encoding="utf-8")
     (folder / "etablissements.json").write_text(json.dumps([
-        {"NOM": "SHARED NAME", "VILLE": "RABAT"}, {"NOM": "GROUPE AFRIC PHAR SA", "VILLE": "FES", "TEL": "05.35", "NOM PHARMACIEN RESPONSABLE": "M. X"}]), encoding="utf-8")
+        {"NOM": "SHARED NAME", "VILLE": "RABAT"}, {"NOM": "GROUPE SUD LABO SA", "VILLE": "FES", "TEL": "05.35", "NOM PHARMACIEN RESPONSABLE": "M. X"}]), encoding="utf-8")
     (folder / "medical_devices.csv").write_text(
         "Réf,Description du device,code\n1,Scanner CT,EQ-1\n2,AB123,EQ-2\n3,DCM,\n4,IRM,\n5,Code CNOPS,\n6,Respirateur,EQ-6\n7,Respirateur,EQ-7\n", encoding="utf-8")
     (folder / "equipment_ref.csv").write_text("name,code,category\nScanner CT,REF-1,Imagerie\nIRM,REF-2,\n", encoding="utf-8")
@@ -71,13 +71,13 @@ def test_hospitals_are_deduplicated(spark, done, rows):
 
 def test_medications(spark, done, rows):
     assert rows(read(spark, done, "processed", "medications"), "id", "name", "dosage", "manufacturer", "price_public") == [
-        (1, "ACULAR", "0005", "Afric Phar", "36,30"), (2, "ALGIK", None, "Nobody", None), (3, "BEMAG", None, "AFRIC PHAR", None)]
+        (1, "OCULEX", "0005", "Sud Labo", "36,30"), (2, "DOLIX", None, "Nobody", None), (3, "MAGNEX", None, "SUD LABO", None)]
 
 
 def test_suppliers_prefer_device_makers(spark, done, rows):
     assert rows(read(spark, done, "processed", "suppliers"), "id", "name", "category", "city") == [
-        (1, "2B MEDICAL", "Dispositif Médical", None), (2, "SHARED NAME", "Dispositif Médical", None),
-        (3, "GROUPE AFRIC PHAR SA", "Grossiste Pharmaceutique", "FES")]
+        (1, "ZED MEDICAL", "Dispositif Médical", None), (2, "SHARED NAME", "Dispositif Médical", None),
+        (3, "GROUPE SUD LABO SA", "Grossiste Pharmaceutique", "FES")]
 
 
 def test_supplier_links(spark, done, rows):
