@@ -88,8 +88,9 @@ def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries:
     """Call the model once per row of (key, prompt): (key, reply, error).
 
     A failing call is repeated at most ``retries`` times; then the reply is null and
-    the error says why. ``parallel`` fixes how many calls run at once. Write the result
-    before using it twice, or a lost executor calls again.
+    the error says why. ``parallel`` says how many calls run at once (default: one per
+    core); prompts are small, so without it few tasks would make all the calls. Write
+    the result before using it twice, or a lost executor calls again.
     """
     kind = prompts.schema[key].dataType.simpleString()
 
@@ -112,8 +113,7 @@ def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries:
             })
 
     calls = prompts.select(key, "prompt")
-    if parallel:
-        calls = calls.repartition(parallel)
+    calls = calls.repartition(parallel or calls.sparkSession.sparkContext.defaultParallelism)
     return calls.mapInPandas(call, f"{key} {kind}, reply string, error string")
 
 

@@ -16,7 +16,7 @@ from recordwell.operators.contain import containers
 from recordwell.operators.edits import name_table, nearest_names
 from recordwell.operators.fill import attach, self_fill
 from recordwell.operators.keys import keep_best, smart_dedup
-from recordwell.session import cut_lineage
+from recordwell.session import broadcast_if_small, cut_lineage
 
 # Known cities with their region and province.
 CITY_DICTIONARY = (
@@ -102,7 +102,7 @@ def dictionary_match(df: DataFrame, dictionary: DataFrame, key, name: str = "cit
     entries = entries.groupBy("_entry_key").agg(
         F.min(F.struct("entry", "name_clean", "region", "province")).alias("_entry")
     )
-    joined = attach(df, entries, key(F.col(name)), "_entry_key")
+    joined = attach(df, broadcast_if_small(entries), key(F.col(name)), "_entry_key")
     take = F.col("region").isNull() & F.col("_entry").isNotNull()
     values = {name: "name_clean", "region": "region", "province": "province"}
     return joined.select(*[

@@ -206,7 +206,7 @@ def link_suppliers(medications: DataFrame, suppliers: DataFrame, key=F.lower) ->
 def normalise(spark: SparkSession, source: str, out: str, threshold: int | None = 85) -> list[str]:
     """Run every normalisation whose input exists and write the results."""
     def get(name: str) -> DataFrame | None:
-        return spark.read.parquet(f"{source}/{name}") if readers.path_exists(spark, f"{source}/{name}") else None
+        return readers.if_there(lambda: spark.read.parquet(f"{source}/{name}"))
 
     done = []
 
@@ -303,8 +303,8 @@ def enrich(spark: SparkSession, source: str, out: str, **models) -> list[str]:
 def publish(spark: SparkSession, source: str, database: str) -> dict[str, DataFrame]:
     """Create the typed tables, refresh them parents first, and return the checks."""
     writers.create_tables(spark, database)
-    frames = {t: spark.read.parquet(f"{source}/{t}") for t in TABLES if readers.path_exists(spark, f"{source}/{t}")}
-    writers.load_tables(frames, database)
+    found = {t: readers.if_there(lambda t=t: spark.read.parquet(f"{source}/{t}")) for t in TABLES}
+    writers.load_tables({t: df for t, df in found.items() if df is not None}, database)
     return verify({t: spark.table(f"{database}.{t}") for t in TABLES})
 
 

@@ -36,20 +36,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
     one machine holds everything anyway, gets a folder of our own.
     """
-    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
         return configured
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="recordwell-checkpoint-")
-    sc.setCheckpointDir(folder)
-    return folder
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="recordwell-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

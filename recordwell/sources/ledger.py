@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from recordwell.sources.readers import empty, path_exists
+from recordwell.sources.readers import empty, if_there
 
 
 class Ledger:
@@ -22,9 +22,8 @@ class Ledger:
         self.spark, self.path, self.schema, self.key = spark, path, schema, key
 
     def read(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return empty(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        rows = if_there(lambda: self.spark.read.schema(self.schema).parquet(self.path))
+        return empty(self.spark, self.schema) if rows is None else rows.select(*self.schema.names)
 
     def append(self, rows: DataFrame, slice_id: int) -> None:
         """Write one slice; writing the same slice again replaces it."""

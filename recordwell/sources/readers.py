@@ -7,7 +7,7 @@ inference would turn codes such as ``0005`` into numbers.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,16 +43,20 @@ def _unique(names: Sequence[str]) -> list[str]:
     return out
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist."""
     try:
-        spark.read.format("binaryFile").load(path).schema
-        return True
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return if_there(lambda: spark.read.text(path)) is not None
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -83,14 +87,13 @@ def read_csv(
     ``with_order`` adds the row's place. A missing path gives an empty table with
     ``columns`` unless ``missing_ok`` is off.
     """
-    if missing_ok and not path_exists(spark, path):
-        return empty(spark, _text_schema([*columns, *([ORDER] if with_order else [])]))
     reader = (
         spark.read.option("header", True).option("multiLine", multi_line)
         .option("inferSchema", False)
         .option("quote", '"').option("escape", '"')
     )
-    df = _null_tokens(reader.csv(path))
+    found = if_there(lambda: reader.csv(path)) if missing_ok else reader.csv(path)
+    df = _null_tokens(found) if found is not None else empty(spark, _text_schema(columns))
     return df.withColumn(ORDER, F.monotonically_increasing_id()) if with_order else df
 
 
@@ -138,14 +141,14 @@ def read_json_objects(
     ``multi_line`` off reads one object per line, which Spark can split.
     """
     schema = _text_schema(fields)
-    if missing_ok and not path_exists(spark, path):
-        return empty(spark, schema if not with_order else _text_schema([*fields, ORDER]))
-    rows = (
-        spark.read.schema(_text_schema([*fields, "_corrupt"]))
-        .option("columnNameOfCorruptRecord", "_corrupt")
+    parts = _text_schema([*fields, "_corrupt"])
+    reader = (
+        spark.read.schema(parts).option("columnNameOfCorruptRecord", "_corrupt")
         .option("multiLine", multi_line).option("primitivesAsString", True)
-        .json(path)
     )
+    rows = if_there(lambda: reader.json(path)) if missing_ok else reader.json(path)
+    if rows is None:
+        rows = empty(spark, parts)
     # an array with an item that is no object comes back whole as corrupt text: take it apart item by item
     items = F.transform(
         F.from_json("_corrupt", T.ArrayType(T.StringType())),
@@ -187,14 +190,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 def read_cache_json(spark: SparkSession, path: str, value: T.StructType, key: str = "key") -> DataFrame:
     """A JSON object ``key -> value`` as rows; a missing or broken file gives no rows."""
     schema = T.StructType([T.StructField(key, T.StringType()), *value.fields])
-    if not path_exists(spark, path):
+    texts = if_there(lambda: spark.read.option("wholetext", True).text(path))
+    if texts is None:
         return empty(spark, schema)
     entries = F.from_json("value", T.MapType(T.StringType(), value))
-    return (
-        spark.read.option("wholetext", True).text(path)
-        .select(F.explode(entries).alias(key, "v"))
-        .select(key, "v.*")
-    )
+    return texts.select(F.explode(entries).alias(key, "v")).select(key, "v.*")
 
 
 def valid_ids(df: DataFrame, id_col: str = "id") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from recordwell.sources.readers import if_there
 from recordwell.sources.schemas import COLUMN_DEFAULTS, LOAD_ORDER, TABLES
 
 # What a writer does when the target exists.
@@ -31,12 +32,11 @@ def write_stage(df: DataFrame, folder: str, name: str, mode: str = "overwrite")
 
 def carry_forward(spark: SparkSession, source: str, target: str, names: Iterable[str]) -> list[str]:
     """Copy stage datasets a stage does not change; names absent from the source are skipped."""
-    from recordwell.sources.readers import path_exists
-
     done = []
     for name in names:
-        if path_exists(spark, f"{source}/{name}"):
-            spark.read.parquet(f"{source}/{name}").write.mode("overwrite").parquet(f"{target}/{name}")
+        df = if_there(lambda path=f"{source}/{name}": spark.read.parquet(path))
+        if df is not None:
+            df.write.mode("overwrite").parquet(f"{target}/{name}")
             done.append(name)
     return done
 
