@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordwell.catalog.registry import PLACES, STAGED, View, fold_sql, query, table
+from recordwell.catalog.registry import PLACES, STAGED, fold_sql, query, table
 from recordwell.functions import match, text
 from recordwell.functions.match import LETTERS, SOUNDEX_DIGITS
+from recordwell.operators.columns import when_pending
 from recordwell.operators.contain import drop_containers
 from recordwell.operators.edits import edit_distance_pairs, typo_match
 from recordwell.operators.fill import self_fill
@@ -120,9 +121,7 @@ _DEDUP = ("SELECT id, city, region, province FROM {0} QUALIFY city IS NULL OR "
 
 @query("strip_suffix", _staged(_pending(_STRIP)) + " SELECT raw_id, city FROM s1")
 def _(spark, folder):
-    df = STAGED.frame(spark, folder)
-    pending = F.col("validation_status") == "PENDING"
-    return df.select("raw_id", F.when(pending, text.strip_suffixes("city")).otherwise(F.col("city")).alias("city"))
+    return STAGED.frame(spark, folder).select("raw_id", when_pending(text.strip_suffixes("city"), "city").alias("city"))
 
 
 @query("canonical_prefix", _staged(_CANON) + " SELECT raw_id, city FROM s1")

@@ -1,5 +1,4 @@
 import random
-from functools import cmp_to_key
 
 import pytest
 from pyspark.sql import functions as F

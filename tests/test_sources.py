@@ -38,6 +38,20 @@ def test_preamble_without_header_word_takes_first_line(spark, tmp_path, rows):
     assert rows(readers.read_csv_with_preamble(spark, str(path))) == [("1", "2")]
 
 
+def test_preamble_of_a_split_file(spark, tmp_path):
+    path = tmp_path / "gov.csv"
+    lines = [f"R{i},{i},some text to make the line longer" for i in range(500)]
+    path.write_text("Liste\nRégion,n,text\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = readers.read_csv_with_preamble(spark, str(path), multi_line=False, with_order=True)
+        assert df.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        assert [r.n for r in df.orderBy("_ord").collect()] == [str(i) for i in range(500)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_json_skips_items_that_are_no_objects(spark, tmp_path, rows):
     path = tmp_path / "m.json"
     path.write_text('[{"nom": "a", "PPV": 12.5}, 3, "x", {"other": 1}, {"nom": "é"}]', encoding="utf-8")
