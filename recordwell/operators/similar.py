@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordwell.functions.match import edit_budget, keep_similar, least_ratio
 from recordwell.operators.columns import completeness
 from recordwell.operators.keys import keep_best, minus_ids
-from recordwell.session import cut_lineage
+from recordwell.session import broadcast_if_small, cut_lineage
+
+#: Names of one block that may try one gram before the comparison is dealt out to more tasks.
+TILE = 2_000
 
 #: Duels of one group that a single task may stream through.
 GROUP_EDGES = 1_000_000
@@ -41,11 +44,12 @@ def _prefix_size(name: Column, threshold: int) -> Column:
 
 
 def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: int = 85,
-                  carry: Sequence[str] = ()) -> DataFrame:
+                  carry: Sequence[str] = (), tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of different names in one block whose similarity exceeds ``threshold``.
 
     ``df`` has one row per (block, name). ``a`` and ``b`` are structs of the name and
-    the carried columns, a's name the smaller; null blocks equal each other.
+    the carried columns, a's name the smaller; null blocks equal each other. No task
+    compares more than about ``tile`` squared pairs for one gram.
     """
     if threshold < 80:
         raise ValueError("the gram filter is exact from a threshold of 80")
@@ -70,9 +74,23 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     probes = tried.select("block", "node", "tried", F.explode("tried").alias("gram")).withColumn(
         "key", F.xxhash64("block", "gram")
     )
-    left = probes.select("key", "block", "gram", F.col("tried").alias("ta"), F.col("node").alias("a"))
+    # a gram that many names of a block try is work for many tasks: its left rows are dealt
+    # into shares, its right rows go to every share
+    shares = F.ceil(F.col("uses") * F.col("uses") / F.lit(tile * tile)).cast("int")
+    crowded = cut_lineage(
+        probes.groupBy("key").agg(F.count("*").alias("uses")).filter(F.col("uses") > tile)
+        .select(F.col("key").alias("_hot"), shares.alias("shares"))
+    )
+    probes = probes.join(broadcast_if_small(crowded), F.col("key") == F.col("_hot"), "left").withColumn(
+        "shares", F.coalesce("shares", F.lit(1))
+    )
+    left = probes.select(
+        "key", "block", "gram", F.pmod(F.xxhash64("node.name"), F.col("shares")).cast("int").alias("share"),
+        F.col("tried").alias("ta"), F.col("node").alias("a"),
+    )
     right = probes.select(
         F.col("key").alias("rkey"), F.col("block").alias("rblock"), F.col("gram").alias("rgram"),
+        F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("rshare"),
         F.col("tried").alias("tb"), F.col("node").alias("b"),
     )
     near = F.abs(F.length("a.name") - F.length("b.name")) <= edit_budget("a.name", "b.name", threshold)
@@ -81,6 +99,7 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     candidates = left.join(
         right,
         (F.col("key") == F.col("rkey"))
+        & (F.col("share") == F.col("rshare"))
         & (F.col("gram") == F.col("rgram"))
         & F.col("block").eqNullSafe(F.col("rblock"))
         & (F.col("a.name") < F.col("b.name"))

@@ -97,12 +97,12 @@ def facility_names(rng, n):
     return [mutate(rng, rng.choice(base), "aeins") for _ in range(n)]
 
 
-@pytest.mark.parametrize("threshold", [80, 85, 92])
-def test_similar_pairs_finds_every_pair(spark, threshold):
+@pytest.mark.parametrize("threshold, tile", [(80, 2000), (85, 2000), (92, 2000), (85, 3), (85, 25)])
+def test_similar_pairs_finds_every_pair(spark, threshold, tile):
     rng = random.Random(threshold)
     data = sorted({(rng.choice(["x", "y", None]), n) for n in facility_names(rng, 400)}, key=repr)
     df = spark.createDataFrame(data, "city string, name string")
-    joined = similar_pairs(df, "name", ["city"], threshold)
+    joined = similar_pairs(df, "name", ["city"], threshold, tile=tile)
     assert_scalable(joined)
     got = [(r.block.city, r.a.name, r.b.name) for r in joined.collect()]
     wanted = {
