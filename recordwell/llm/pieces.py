@@ -11,8 +11,9 @@ joined text gives again. Exactly one way to each position does, and it is the on
 whole text gives, so ids equal those of the SentencePiece library.
 
 Spaces become the visible mark, one is put in front of the text, and characters without a piece are
-written as byte pieces (or the unknown id where the vocabulary has none). No piece holds a mark after
-another character, so the words between marks are independent; a bounded memo keeps frequent ones.
+written as byte pieces (or the unknown id where the vocabulary has none). Where no piece of
+the vocabulary crosses (before marks, at line ends, between letters and others) all ways share a
+boundary beforehand, so the words between are searched by themselves; a bounded memo keeps frequent ones.
 
 Defined results: null and empty texts give no ids and decode to an empty text. Decoding drops the
 mark in front and gives back every text that holds no mark of its own (and no unknown character where
@@ -23,7 +24,7 @@ Other columns are not looked at.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import pandas as pd
@@ -32,6 +33,8 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 #: The visible mark for a space: a fixed property of the format.
 MARK = "▁"
+#: Letters of Latin scripts, as a range for patterns.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Words and pairs remembered by one worker. A full memo of words is kept as the older one; words
 #: asked again move to the new one.
 MEMO = 200_000
@@ -45,9 +48,11 @@ class Pieces:
     def __init__(self, model: bytes, kind: str = "bpe"):
         own = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = own.get_piece_size()
-        self.kind = kind
+        #: Whether scores add up along a way.
+        self.adds = kind == "unigram"
         self.id, self.score, self.byte, self.piece, self.spelt = {}, {}, {}, [], []
-        #: Pieces by their characters, one level each; the piece's number lies under "".
+        #: Pieces by their characters: a character leads to (the next level, the number of the piece
+        #: that ends there or none).
         self.tree: dict = {}
         for i in range(size):
             piece = own.id_to_piece(i)
@@ -61,23 +66,32 @@ class Pieces:
                 self.id[piece] = i
                 self.score[i] = own.get_score(i)
                 self.spelt.append(piece.replace(MARK, " ").encode())
-                node = self.tree
+                level = self.tree
                 for character in piece:
-                    node = node.setdefault(character, {})
-                node[""] = i
+                    above, level = level, level.setdefault(character, ({}, NONE))[0]
+                above[piece[-1]] = (level, i)
+        self.single = {p for p in self.id if len(p) == 1}
         self.unknown = own.unk_id()
         self.longest = max(map(len, self.id), default=1)
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
-        inner = any(MARK in p.lstrip(MARK) for p in self.id)
-        lines = any("\n" in p for p in self.id if len(p) > 1)
-        #: Stretches that no piece crosses.
-        self.words = re.compile(
-            r"(?s:.+)" if inner else f"{MARK}*[^{MARK}]+|{MARK}+" if lines else f"{MARK}*[^{MARK}\n]+|{MARK}+|\n"
-        ).findall
+        self.words = self._words()
         self.memo: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
 
+    def _words(self) -> Callable[[str], list[str]]:
+        """Cuts a text where no piece of this vocabulary can cross: marks, line ends, letters from others."""
+        joints = {pair for p in self.id for pair in zip(p, p[1:])}
+        if any(a != MARK and b == MARK for a, b in joints):
+            return lambda text: [text]
+        line = "" if any("\n" in joint for joint in joints) else "\n"
+        letter = re.compile(f"[{LATIN}]").match
+        if any(a != MARK and bool(letter(a)) != bool(letter(b)) for a, b in joints):
+            word = f"[^{MARK}{line}]+"
+        else:
+            word = f"[{LATIN}]+|{MARK}*[^{LATIN}{MARK}{line}]+"
+        return re.compile(f"{MARK}*{word}|{MARK}+" + (f"|{line}" if line else "")).findall
+
     def merged(self, text: str) -> list[str]:
         """The pieces that merging gives: best score first, leftmost of equals."""
         parts = list(text)
@@ -108,53 +122,62 @@ class Pieces:
             self.pairs[pair] = known
         return known
 
-    def _advance(self, window: str, last: list[int | None], score: list[float], start: int, stop: int) -> None:
-        """Extend the ways to the positions from ``start`` to ``stop`` by every piece that begins there."""
-        merges, pairs, size, end = self.kind == "bpe", self.pairs, len(self.spelt), len(window)
-        while len(last) <= end:
-            last.append(None)
-            score.append(0.0)
+    def _advance(
+        self, window: str, last: list[int | None], came: list[int], score: list[float], start: int, stop: int,
+    ) -> None:
+        """Extend the ways to the positions from ``start`` to ``stop`` by every piece that begins there.
+
+        Of the best way to a position, ``last`` has the piece that ends there and ``came`` where it begins.
+        """
+        more = len(window) + 1 - len(last)
+        last += [None] * more
+        came += [0] * more
+        score += [0.0] * more
+        tree, pairs, size, longest, adds = self.tree, self.pairs, len(self.spelt), self.longest, self.adds
         for at in range(start, stop):
             before = last[at]
             if before is None:
                 continue
-            node, to = self.tree, at
-            while to < end:
-                node = node.get(window[to])
+            level, to = tree, at
+            for character in window[at:at + longest]:
+                node = level.get(character)
                 if node is None:
                     break
+                level, number = node
                 to += 1
-                number = node.get("")
-                if number is None:
+                if number < 0:
                     continue
-                if not merges:
+                if adds:
                     total = score[at] + self.score[number]
                     if last[to] is None or total > score[to]:
-                        last[to], score[to] = number, total
-                elif last[to] is None:
-                    known = True if before < NONE else pairs.get(before * size + number)
-                    if known or known is None and self.survives(before, number):
-                        last[to] = number
-            if "" not in self.tree.get(window[at], self.tree):  # a character without a piece
+                        last[to], came[to], score[to] = number, at, total
+                elif last[to] is None:  # else the one way there is known
+                    fits = before < NONE or pairs.get(before * size + number)
+                    if fits or fits is None and self.survives(before, number):
+                        last[to], came[to] = number, at
+            if window[at] not in self.single:
                 total = score[at] + self.unknown_score
-                if last[at + 1] is None or not merges and total > score[at + 1]:
-                    last[at + 1], score[at + 1] = NONE - 1 - ord(window[at]), total
+                if last[at + 1] is None or adds and total > score[at + 1]:
+                    last[at + 1], came[at + 1], score[at + 1] = NONE - 1 - ord(window[at]), at, total
 
-    def _back(self, last: list[int | None], end: int) -> list[int]:
+    @staticmethod
+    def _back(last: list[int | None], came: list[int], end: int) -> list[int]:
         """The pieces of the way from the first position of the window to ``end``."""
         out = []
         while end > 0:
             out.append(last[end])
-            end -= len(self.piece[last[end]]) if last[end] >= 0 else 1
-        return out[::-1]
+            end = came[end]
+        out.reverse()
+        return out
 
-    def _boundary(self, last: list[int | None], start: int) -> int:
+    @staticmethod
+    def _boundary(last: list[int | None], came: list[int], start: int) -> int:
         """The last boundary that the ways to all positions from ``start`` on have in common."""
         live = {i for i in range(start, len(last)) if last[i] is not None}
         while len(live) > 1:
             end = max(live)
             live.remove(end)
-            live.add(end - (len(self.piece[last[end]]) if last[end] >= 0 else 1))
+            live.add(came[end])
         return live.pop() if live else 0
 
     def search(self, characters: Iterable[str]) -> Iterator[int]:
@@ -164,18 +187,19 @@ class Pieces:
         """
         stream, window, start = iter(characters), "", 0
         last: list[int | None] = [NONE]
-        score = [0.0]
+        came, score = [0], [0.0]
         while True:
             more = "".join(islice(stream, 4 * self.longest))
             window += more
             stop = max(start, len(window) - self.longest + 1) if more else len(window)
-            self._advance(window, last, score, start, stop)
+            self._advance(window, last, came, score, start, stop)
             if not more:
-                yield from self._back(last, len(window))
+                yield from self._back(last, came, len(window))
                 return
-            boundary = self._boundary(last, stop)
-            yield from self._back(last, boundary)
+            boundary = self._boundary(last, came, stop)
+            yield from self._back(last, came, boundary)
             window, last, score, start = window[boundary:], last[boundary:], score[boundary:], stop - boundary
+            came = [c - boundary for c in came[boundary:]]
 
     def ids_of(self, number: int) -> tuple[int, ...]:
         if number >= 0:
@@ -187,9 +211,9 @@ class Pieces:
     def _word(self, word: str) -> tuple[int, ...]:
         if len(word) > 4 * self.longest:
             return tuple([i for n in self.search(word) for i in self.ids_of(n)])
-        last, score = [NONE], [0.0]
-        self._advance(word, last, score, 0, len(word))
-        found = self._back(last, len(word))
+        last, came = [NONE], [0]
+        self._advance(word, last, came, [0.0], 0, len(word))
+        found = self._back(last, came, len(word))
         return tuple(found) if min(found) >= 0 else tuple([i for n in found for i in self.ids_of(n)])
 
     def encode(self, text: str | None) -> list[int]:
@@ -211,6 +235,10 @@ class Pieces:
             ids += known
         return ids
 
+    def lossless(self, text: str | None, ids: list[int]) -> bool:
+        """Whether ids of this vocabulary decode to the text."""
+        return b"".join(map(self.spelt.__getitem__, ids)).removeprefix(b" ") == (text or "").encode()
+
     def decode(self, ids: Iterable[int] | None) -> str:
         size = len(self.spelt)
         spelt = b"".join([self.spelt[i] for i in ids if i is not None and 0 <= i < size] if ids is not None else [])
@@ -244,7 +272,7 @@ def encode(text: Column, model: bytes, kind: str = "bpe") -> Column:
         pieces = _loaded(model, kind)
         plain = [t if isinstance(t, str) else None for t in texts]
         ids = [pieces.encode(t) for t in plain]
-        return pd.DataFrame({"ids": ids, "lossless": [pieces.decode(i) == (t or "") for i, t in zip(ids, plain)]})
+        return pd.DataFrame({"ids": ids, "lossless": [pieces.lossless(t, i) for i, t in zip(ids, plain)]})
 
     return encoded(text)
 
