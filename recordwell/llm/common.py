@@ -56,16 +56,17 @@ def is_held_out(key: str) -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_bytes: int) -> DataFrame:
-    """At most ``per_label`` whole texts of each label, none above ``max_bytes`` bytes: (label, text).
+    """At most ``per_label`` different whole texts of each label, none above ``max_bytes`` bytes: (label, text).
 
-    The lowest hashes of the text win, so the sample does not depend on order or partitioning,
-    and each map task sends at most ``per_label`` rows per label.
+    The lowest hashes of the texts win, so the sample depends neither on order nor on partitioning, and
+    a text that many rows repeat is taken once. First the hashes are ranked, at most ``per_label`` a
+    label in each map task; then the texts of these few hashes are fetched by a bounded broadcast.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "text")
-    return (
-        rows.select(F.col(label).alias("label"), F.col(text).alias("text"))
-        .filter(F.col("label").isNotNull() & (F.octet_length("text") > 0) & (F.octet_length("text") <= max_bytes))
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= per_label)
-        .select("label", "text")
-    )
+    known = rows.select(F.col(label).alias("label"), F.col(text).alias("text")).filter(
+        F.col("label").isNotNull() & (F.octet_length("text") > 0) & (F.octet_length("text") <= max_bytes)
+    ).withColumn("hash", F.xxhash64("text"))
+    order = Window.partitionBy("label").orderBy("hash")
+    chosen = known.select("label", "hash").distinct().withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= per_label).select("label", "hash")
+    return known.join(F.broadcast(chosen), ["label", "hash"]).groupBy("label", "hash").agg(
+        F.min("text").alias("text")).select("label", "text")

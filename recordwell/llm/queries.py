@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordwell.llm import bloom, common, pieces, ppm, simhash, tiling
+from recordwell.llm import bloom, common, compression, lines, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,102 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", common.is_held_out("doc_id").alias("held_out"),
         ppm.languages(F.col("text"), trees, spark).alias("found"),
     ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+@query
+def op1_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard of eight, its slot, and its shard of nine."""
+    eight = {shard: 1.0 for shard in range(8)}
+    docs = table(spark, folder, "documents")
+    placed = sharding.assign_shards(docs, eight, grown={**eight, 8: 1.0})
+    return placed.withColumn("law", F.lit("key"))
+
+
+@query
+def op6_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that stand on ten or more sources."""
+    cleaned = lines.remove_lines(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLES["op6_boilerplate"] = """
+WITH own AS (
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM documents
+), trimmed AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM own
+), spread AS (
+  SELECT bare FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE bare NOT IN (SELECT bare FROM spread)), '') AS text,
+       CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE bare IN (SELECT bare FROM spread)) AS INTEGER) AS n_removed
+FROM trimmed GROUP BY doc_id
+"""
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learnt from the labelled rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    distance = compression.train(docs.filter(~common.is_held_out("doc_id")), table(spark, folder, "labels"))
+    return docs.select(
+        "doc_id", common.is_held_out("doc_id").alias("held_out"), compression.toxicity(F.col("text"), distance, spark).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of every document: counts by kind, all spans, and their digest."""
+    found = trigrams.scan_secrets(table(spark, folder, "documents"))
+    kinds = F.array(*[F.lit(rule.kind) for rule in trigrams.RULES])
+    named = F.transform("spans", lambda s: F.concat_ws(":", F.get(kinds, s["rule"]), s["start"].cast("string"), s["end"].cast("string")))
+    def of_rule(n: int):
+        return lambda s: s["rule"] == n
+
+    counts = [
+        F.size(F.filter("spans", of_rule(n))).cast("long").alias(f"n_{rule.kind}")
+        for n, rule in enumerate(trigrams.RULES)
+    ]
+    return found.select("doc_id", *counts, F.array_join(named, ",").alias("spans")).withColumn(
+        "base_sha256", F.sha2(F.col("spans").cast("binary"), 256))
+
+
+_SPANS = """
+  SELECT doc_id, {n} AS rule, '{kind}' AS kind, unnest(range(1, len(found) + 1)) AS n, found, gaps FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS found, regexp_split_to_array(coalesce(text, ''), '{pattern}') AS gaps
+    FROM documents) WHERE len(found) > 0
+"""
+#: The patterns once more, written for the other engine.
+_ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    "[\"'']? *[:=] *[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+ORACLES["op9_secrets"] = f"""
+WITH raw AS ({_SPANS.format(n=0, kind='assign', pattern=_ASSIGN)}
+  UNION ALL {_SPANS.format(n=1, kind='access', pattern='AKIA[A-Z0-9]+')}
+  UNION ALL {_SPANS.format(n=2, kind='hex', pattern='[0-9a-f]{32,}')}
+), placed AS (
+  SELECT doc_id, rule, kind, found[n] AS match,
+         list_sum(list_transform(gaps[1:n], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:n - 1], lambda m: length(m))), 0) AS start
+  FROM raw
+), kept AS (
+  SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(match) AS BIGINT) AS span FROM placed
+  WHERE CASE rule WHEN 0 THEN length(regexp_extract(match, '{_ASSIGN}', 2)) >= 8 WHEN 1 THEN length(match) >= 16 ELSE true END
+), joined AS (
+  SELECT doc_id, count(*) FILTER (WHERE rule = 0) AS n_assign, count(*) FILTER (WHERE rule = 1) AS n_access,
+         count(*) FILTER (WHERE rule = 2) AS n_hex, string_agg(span, ',' ORDER BY start, rule) AS spans FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id
+"""
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The importance of every document towards good ones, and whether it is among the four fifths drawn."""
+    docs = table(spark, folder, "documents")
+    weights = resampling.weigh(docs, table(spark, folder, "labels").filter("quality = 1"))
+    weighted = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), resampling.importance(F.col("text"), weights, spark).alias("log_weight"))
+    return resampling.resample(weighted, -(-4 * docs.count() // 5)).drop("text_hash")
