@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from recordwell.session import cut_lineage
+
 #: A group with more than one row in so many is hot; there are never more hot groups than this.
 HOT_SHARE = 1000
 #: Bits of one bitmap of ``bitmap_construct_agg``: a fixed property of that function.
@@ -55,18 +57,24 @@ def is_held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_bytes: int) -> DataFrame:
-    """At most ``per_label`` different whole texts of each label, none above ``max_bytes`` bytes: (label, text).
+def bounded_sample(
+    rows: DataFrame, label: str, text: str, per_label: int, max_bytes: int, labels: DataFrame | None = None, key: str = "doc_id",
+) -> DataFrame:
+    """At most ``per_label`` different whole texts of each label, none above ``max_bytes`` bytes: (label, hash, text).
 
+    The label is a column of ``rows``, or of ``labels`` (key, label), which may label a document several times.
     The lowest hashes of the texts win, so the sample depends neither on order nor on partitioning, and
-    a text that many rows repeat is taken once. First the hashes are ranked, at most ``per_label`` a
-    label in each map task; then the texts of these few hashes are fetched by a bounded broadcast.
+    a text that many rows repeat is taken once. Only ids and hashes shuffle: they are ranked, at most
+    ``per_label`` a label in each map task, and the texts of the chosen few are fetched by a bounded broadcast.
     """
-    known = rows.select(F.col(label).alias("label"), F.col(text).alias("text")).filter(
-        F.col("label").isNotNull() & (F.octet_length("text") > 0) & (F.octet_length("text") <= max_bytes)
-    ).withColumn("hash", F.xxhash64("text"))
+    known = rows.filter((F.octet_length(text) > 0) & (F.octet_length(text) <= max_bytes)).withColumn("_hash", F.xxhash64(text))
+    if labels is None:
+        hashes = known.select(F.col(label).alias("label"), F.col("_hash").alias("hash"))
+    else:
+        asked = labels.select(F.col(key).alias("_asked"), F.col(label).alias("label"))
+        hashes = known.select(F.col(key).alias("_own"), F.col("_hash").alias("hash")).join(asked, F.col("_own") == F.col("_asked"))
     order = Window.partitionBy("label").orderBy("hash")
-    chosen = known.select("label", "hash").distinct().withColumn("place", F.row_number().over(order)).filter(
-        F.col("place") <= per_label).select("label", "hash")
-    return known.join(F.broadcast(chosen), ["label", "hash"]).groupBy("label", "hash").agg(
-        F.min("text").alias("text")).select("label", "text")
+    chosen = cut_lineage(hashes.select("label", "hash").filter(F.col("label").isNotNull()).distinct().withColumn(
+        "place", F.row_number().over(order)).filter(F.col("place") <= per_label).select("label", "hash"))
+    fetched = known.select(F.col("_hash"), F.col(text).alias("_text")).join(F.broadcast(chosen), F.col("_hash") == F.col("hash"))
+    return fetched.groupBy("label", "hash").agg(F.min("_text").alias("text"))

@@ -123,9 +123,9 @@ class Distance:
         """Bytes that the toxic dictionary saves in two neighbouring windows, the better of every two such
         sums, as places in the table of worths."""
         toxic, ordinary = self.toxic.compress, self.ordinary.compress
-        saved = np.maximum([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], -1)
-        both = saved + np.append(saved[1:], 0)
-        best = np.append(both, [LEAST_GAIN] * (len(both) % 2)).reshape(-1, 2).max(axis=1)
+        saved = [max(-1, len(ordinary(w)) - len(toxic(w))) for w in windows(text)]
+        both = [a + b for a, b in zip(saved, [*saved[1:], 0])]
+        best = np.array(both + [LEAST_GAIN] * (len(both) % 2)).reshape(-1, 2).max(axis=1)
         return np.clip(best, LEAST_GAIN, MOST_GAIN) - LEAST_GAIN
 
     def _gain_counts(self, texts: list[bytes]) -> np.ndarray:
@@ -165,12 +165,11 @@ def train(
     The share of toxic labels is counted over all labelled rows. Rows labelled otherwise than 0 or 1,
     and rows of ``labels`` without a document, teach nothing; several labels of a document each count.
     """
-    asked = labels.select(F.col(key).alias("_label_key"), F.col(label).cast("int").alias("_label")).filter("_label IN (0, 1)")
-    known = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(asked, F.col("key") == F.col("_label_key"))
-    counts = dict(asked.join(docs.select(F.col(key).alias("key")), F.col("key") == F.col("_label_key"), "left_semi")
-                  .groupBy("_label").count().collect())
+    asked = labels.select(F.col(key).alias(key), F.col(label).cast("int").alias("_toxic")).filter("_toxic IN (0, 1)")
+    own = docs.select(F.col(key).alias("_own"))
+    counts = dict(asked.join(own, F.col(key) == F.col("_own"), "left_semi").groupBy("_toxic").count().collect())
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    sample = bounded_sample(known, "_label", "text", texts, text_bytes).toPandas().sort_values("text")
+    sample = bounded_sample(docs, "_toxic", text, texts, text_bytes, asked, key).toPandas().sort_values("hash")
     return Distance(
         sample.loc[sample["label"] == 1, "text"].tolist(), sample.loc[sample["label"] == 0, "text"].tolist(), share,
     )

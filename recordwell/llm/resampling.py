@@ -84,10 +84,8 @@ def weigh(
     ``target`` names the ids of target texts. At most ``texts`` different ones of up to ``text_bytes`` bytes
     are counted; the raw model counts all of ``docs``.
     """
-    ids = target.select(F.col(key).alias("_target_key")).distinct()
-    wanted = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        ids, F.col("key") == F.col("_target_key"), "left_semi").withColumn("label", F.lit(1))
-    sample = cut_lineage(bounded_sample(wanted, "label", "text", texts, text_bytes))
+    ids = target.select(F.col(key).alias(key)).distinct().withColumn("_target", F.lit(1))
+    sample = cut_lineage(bounded_sample(docs, "_target", text, texts, text_bytes, ids, key))
     aimed = bucket_counts(sample)
     if not aimed.sum():
         return np.zeros(BUCKETS)
