@@ -17,8 +17,13 @@ from recordwell.session import ensure_checkpoint_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without any letter, whose language cannot be told. Learns from the stage's own rows."""
+    """Drops texts without any letter, whose language cannot be told. Learns from the stage's own rows.
+
+    Where no row names a language there is nothing to learn, and every row stays.
+    """
     trees = ppm.train(docs.filter(~common.is_held_out("doc_id")))
+    if not trees.languages:
+        return docs
     found = docs.select(*[docs[c] for c in docs.columns], ppm.languages(docs["text"], trees, spark).alias("_found_lang"))
     return found.filter(F.col("_found_lang.lang") != ppm.UNKNOWN).drop("_found_lang")
 

@@ -60,7 +60,7 @@ class Trees:
             path = own["path"].to_numpy().astype(np.uint64)
             known, place = np.unique(path, return_inverse=True)
             seen = np.zeros((len(known), len(languages)))
-            seen[place, own["language"].map(number).to_numpy()] = own["count"].to_numpy()
+            seen[place, own["language"].map(number).to_numpy(np.int64)] = own["count"].to_numpy()
             context, first, node = np.unique(known >> np.uint64(8), return_index=True, return_inverse=True)
             total = np.add.reduceat(seen, first, axis=0) if len(known) else seen
             kinds = np.add.reduceat((seen > 0).astype(float), first, axis=0) if len(known) else seen
