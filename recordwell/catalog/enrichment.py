@@ -67,7 +67,7 @@ def _(spark, folder):
 
 
 def _number_sql(*parts: str) -> str:
-    return "CAST('0x' || left(md5(" + " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "), 7) AS BIGINT)"
+    return "CAST('0x' || left(md5(" + " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "), 15) AS BIGINT)"
 
 
 @query(

@@ -124,7 +124,31 @@ def _(spark, folder):
     return both.select("a", "b", match.indel_similarity("a", "b").alias("similarity"))
 
 
-@query("fuzzy_dedup")
+def losers_sql(best: str, key: str, threshold: int = 85) -> str:
+    """CTEs ending in ``lost``: rows of ``best`` (city, lower name k, filled, source) that lose their duels.
+
+    The duels of a city are folded in time order over a list of those already gone.
+    """
+    return (
+        f"pairs AS (SELECT x.city, least(x.{key}, y.{key}) AS i, greatest(x.{key}, y.{key}) AS j FROM {best} x JOIN {best} y "
+        f"ON x.city IS NOT DISTINCT FROM y.city AND x.k < y.k "
+        f"WHERE round_even(200.0::DOUBLE * {_lcs_sql('x.k', 'y.k')} / (length(x.k) + length(y.k)), 0) > {threshold}), "
+        "duels AS (SELECT p.city, CASE WHEN a.filled >= b.filled THEN i ELSE j END AS w, CASE WHEN a.filled >= b.filled THEN j ELSE i END AS l, "
+        "CASE a.source WHEN 'osm' THEN 0 ELSE 1 END AS va, i, CASE b.source WHEN 'osm' THEN 0 ELSE 1 END AS vb, j "
+        f"FROM pairs p JOIN {best} a ON a.{key} = i JOIN {best} b ON b.{key} = j), "
+        "folded AS (SELECT list_reduce(list_prepend({'w': -1::BIGINT, 'l': -1::BIGINT, 'gone': []::BIGINT[]}, "
+        "list({'w': w::BIGINT, 'l': l::BIGINT, 'gone': []::BIGINT[]} ORDER BY va, i, vb, j)), "
+        "lambda s, d: {'w': d.w, 'l': d.l, 'gone': CASE WHEN list_contains(s.gone, d.w) OR list_contains(s.gone, d.l) "
+        "THEN s.gone ELSE list_append(s.gone, d.l) END}).gone AS gone FROM duels GROUP BY city), "
+        "lost AS (SELECT unnest(gone) AS loser FROM folded)"
+    )
+
+
+@query("fuzzy_dedup", f"WITH f AS ({FACILITIES.sql}), r AS (SELECT *, lower(name) AS k, (name IS NOT NULL)::INT + (city IS NOT NULL)::INT + "
+       "(phone IS NOT NULL)::INT + (email IS NOT NULL)::INT + (beds IS NOT NULL)::INT AS filled FROM f), "
+       "best AS (SELECT * FROM r WHERE name <> '' QUALIFY row_number() OVER (PARTITION BY city, k ORDER BY filled DESC, id) = 1), "
+       f"{losers_sql('best', 'id')} SELECT id, name, city, source, phone, email, beds FROM best WHERE id NOT IN (SELECT loser FROM lost) "
+       "UNION ALL SELECT id, name, city, source, phone, email, beds FROM r WHERE name IS NULL OR name = ''")
 def _(spark, folder):
     df = FACILITIES.frame(spark, folder)
     visit = [F.when(F.col("source") == "osm", 0).otherwise(1)]

@@ -52,16 +52,17 @@ def fold_sql(c: str) -> str:
     return f"lower(strip_accents({c}))"
 
 
-# Place rows: names with typos, streets, containers, missing spaces, other scripts; gaps in region.
+# Place rows: names with typos, streets, containers, missing spaces, other scripts, names nobody knows; gaps in region.
 _BROKEN = (
     "p_partkey % 17 = 3 OR p_partkey % 13 = 5 OR p_partkey % 11 = 7 OR p_partkey % 19 = 4 "
-    "OR p_partkey % 23 = 6 OR p_partkey % 29 = 8 OR p_partkey % 31 = 9 OR p_partkey % 7 = 0"
+    "OR p_partkey % 23 = 6 OR p_partkey % 29 = 8 OR p_partkey % 31 = 9 OR p_partkey % 7 = 0 OR p_partkey % 53 = 9"
 )
 PLACES = View(
     "part",
     id="p_partkey",
     city=(
-        "CASE WHEN p_partkey % 17 = 3 THEN '12 RUE ' || upper(p_name) "
+        "CASE WHEN p_partkey % 53 = 9 THEN 'Xqzw' || translate(CAST(p_partkey AS STRING), '0123456789', 'bdfghjklmn') "
+        "WHEN p_partkey % 17 = 3 THEN '12 RUE ' || upper(p_name) "
         "WHEN p_partkey % 13 = 5 THEN 'Ain ' || p_name || ' Fez' "
         "WHEN p_partkey % 11 = 7 THEN substr(p_name, 1, 2) || substr(p_name, 4) "
         "WHEN p_partkey % 19 = 4 THEN replace(p_name, ' ', '-') "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordwell.catalog.columns import clean_sql
+from recordwell.catalog.matching import losers_sql
 from recordwell.catalog.registry import View, query, table
 from recordwell.plans import stages
 from recordwell.sources.schemas import DEVICE_NOISE
@@ -63,7 +64,9 @@ def _(spark, folder):
         "id", "name", "city", "region", "province", "type", "address", "phone", "source", "place_id")
 
 
-@query("normalise_hospitals_fuzzy")
+@query("normalise_hospitals_fuzzy", f"WITH {_ALL}, best AS (SELECT *, lower(name) AS k FROM e), {losers_sql('best', 'r')} "
+       "SELECT row_number() OVER (ORDER BY r) AS id, name, city, region, province, type, address, phone, source, place_id "
+       "FROM best WHERE r NOT IN (SELECT loser FROM lost)")
 def _(spark, folder):
     return _normalised(spark, folder, 85)[1].select(
         "id", "name", "city", "region", "province", "type", "address", "phone", "source", "place_id")

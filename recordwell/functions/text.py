@@ -274,9 +274,9 @@ def valid_website(c: ColumnOrName) -> Column:
 
 
 def valid_beds(c: ColumnOrName, low: int = 0, high: int = 10_000) -> Column:
-    """Whole number in range, else null."""
-    beds = _col(c).try_cast("int")
-    return F.when(beds.between(low, high), beds)
+    """Whole number in range, else null; ``12.0`` is 12."""
+    number = _col(c).try_cast("double")
+    return F.when(number.between(low, high) & (number == F.floor(number)), number.try_cast("int"))
 
 
 def to_number(c: ColumnOrName, kind: str = "double") -> Column:

@@ -6,6 +6,7 @@ that call runs in Python; prompts, parsing, checks and merges are native express
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -83,12 +84,32 @@ def attribute_prompt(name: Column, city: Column, missing: Column) -> Column:
     )
 
 
+def _json(reply: str) -> object:
+    try:
+        return json.loads(reply)
+    except (TypeError, ValueError):
+        return None
+
+
+def is_actions(reply: str) -> bool:
+    """A JSON array whose every item is an object with an id and an action."""
+    items = _json(reply)
+    return isinstance(items, list) and all(
+        isinstance(i, dict) and i.get("id") is not None and i.get("action") is not None for i in items)
+
+
+def is_capacities(reply: str) -> bool:
+    """A JSON object with an array of facilities."""
+    found = _json(reply)
+    return isinstance(found, dict) and isinstance(found.get("hospitals"), list)
+
+
 def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries: int = REPAIR_RETRIES,
-              parallel: int | None = None) -> DataFrame:
+              parallel: int | None = None, check: Callable[[str], bool] | None = None) -> DataFrame:
     """Call the model once per row of (key, prompt): (key, reply, error).
 
-    A failing call is repeated at most ``retries`` times; then the reply is null and
-    the error says why. ``parallel`` says how many calls run at once (default: one per
+    A call that fails, or whose reply does not pass ``check``, is repeated: at most ``retries``
+    calls in all; then the reply is null and the error says why. ``parallel`` says how many calls run at once (default: one per
     core); prompts are small, so without it few tasks would make all the calls. Write
     the result before using it twice, or a lost executor calls again.
     """
@@ -99,7 +120,10 @@ def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries:
             error = None
             for _ in range(max(1, retries)):
                 try:
-                    return model(prompt), None
+                    reply = model(prompt)
+                    if check is None or check(reply):
+                        return reply, None
+                    error = "invalid reply"
                 except Exception as problem:  # the model is foreign code; its failure is data
                     error = f"{type(problem).__name__}: {problem}"
             return None, error
@@ -130,12 +154,14 @@ def repair_once(df: DataFrame, model: Model, id_col: str = "id", size: int = REP
     prompts = batches(dirty, [id_col, "city"], id_col, size).select(
         "batch_id", repair_prompt(F.col("records")).alias("prompt")
     )
-    replies = cut_lineage(run_model(prompts, model, parallel=parallel))
-    return apply_actions(df, reply_actions(replies), id_col, order_by="position")
+    replies = cut_lineage(run_model(prompts, model, parallel=parallel, check=is_actions))
+    # a reply may name rows that nobody asked about: those stay as they are
+    asked = reply_actions(replies).join(dirty.select(F.col(id_col).alias("_asked")), F.col("id") == F.col("_asked"), "left_semi")
+    return apply_actions(df, asked, id_col, order_by="position")
 
 
 def repair_until_clean(df: DataFrame, model: Model, max_rounds: int = 3, **options) -> tuple[DataFrame, int]:
-    """Repeat ``repair_once`` until no row lacks a region, a round changes nothing, or rounds run out.
+    """Repeat ``repair_once`` until no row lacks a region or rounds run out; a bad round may be followed by a good one.
 
     Returns the table and the rows still without a region.
     """
@@ -144,9 +170,7 @@ def repair_until_clean(df: DataFrame, model: Model, max_rounds: int = 3, **optio
         if left == 0:
             break
         df = cut_lineage(repair_once(df, model, **options))
-        before, left = left, df.filter(F.col("region").isNull()).count()
-        if left == before:
-            break
+        left = df.filter(F.col("region").isNull()).count()
     return df, left
 
 
@@ -174,7 +198,8 @@ def search_attributes(rows: DataFrame, cache: DataFrame | None, model: Model | N
                       parallel: int | None = None) -> DataFrame:
     """Attributes found for rows lacking at least two, from the cache or the model: (id, attributes).
 
-    The cache is keyed by (name, city) and answers first, whatever is missing.
+    The cache is keyed by (name, city) and answers first, whatever is missing; of several cached rows
+    of one key the greatest counts.
     Rows sharing a name and city are asked once.
     """
     fields = [*CONTACT_FIELDS, *ZERO_FIELDS]
@@ -184,8 +209,8 @@ def search_attributes(rows: DataFrame, cache: DataFrame | None, model: Model | N
     if cache is not None:
         known = cache.select(
             F.struct(F.col("name"), F.col("city")).alias("_cached"),
-            *[F.col(f).alias(f"_{f}") for f in fields],
-        )
+            F.struct(*[F.col(f).alias(f"_{f}") for f in fields]).alias("_row"),
+        ).groupBy("_cached").agg(F.max("_row").alias("_row")).select("_cached", "_row.*")
         held = F.col("_ask") == F.col("_cached")
         hits = keyed.join(known, held).select(id_col, *[F.col(f"_{f}").alias(f) for f in fields])
         keyed = keyed.join(known.select("_cached"), held, "left_anti")
@@ -210,11 +235,13 @@ def capacity_estimates(rows: DataFrame, model: Model, id_col: str = "id", size:
                        parallel: int | None = None) -> DataFrame:
     """Model estimates by facility id (not by place in the reply); ids asked for only, first answer wins."""
     asked = cut_lineage(rows.select(id_col, "name", "type"))
-    prompts = batches(asked, [id_col, "name", "type"], id_col, size).select(
-        "batch_id", capacity_prompt(F.col("records")).alias("prompt")
-    )
-    replies = cut_lineage(run_model(prompts, model, parallel=parallel))
+    batched = cut_lineage(batches(asked, [id_col, "name", "type"], id_col, size))
+    prompts = batched.select("batch_id", capacity_prompt(F.col("records")).alias("prompt"))
+    replies = cut_lineage(run_model(prompts, model, parallel=parallel, check=is_capacities))
     items = replies.select("batch_id", F.posexplode(parse_capacity("reply")).alias("position", "h"))
-    return items.filter(F.col("h.id").isNotNull()).groupBy(F.col("h.id").alias(id_col)).agg(
+    # an answer counts only in the batch that asked for its id
+    owners = batched.select(F.col("batch_id").alias("_batch"), F.explode(F.col("records")[id_col]).alias("_asked"))
+    own = items.join(owners, (F.col("batch_id") == F.col("_batch")) & (F.col("h.id") == F.col("_asked")), "left_semi")
+    return own.groupBy(F.col("h.id").alias(id_col)).agg(
         F.min_by(F.struct("h.service_count", "h.equipment_count", "h.beds"), F.struct("batch_id", "position")).alias("_c")
     ).select(id_col, "_c.*")

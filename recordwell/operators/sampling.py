@@ -10,9 +10,9 @@ from recordwell.session import broadcast_if_small
 
 
 def hash_number(*parts: Column) -> Column:
-    """A number below 2^28 that depends on the parts alone (first digits of their md5)."""
+    """A number below 2^60 that depends on the parts alone (first digits of their md5)."""
     digest = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def hash_between(low: Column | int, high: Column | int, *parts: Column) -> Column:

@@ -1,9 +1,10 @@
 """Similar names inside a block, and the deduplication built on them.
 
 Candidates come from a prefix-filtered join on two-letter grams: names similar enough
-must share one of their rarest grams, so a block that holds a third of all names is
+must share one of their block's rarest grams, so a block that holds a third of all names is
 spread over its grams instead of being compared all with all. The filter is exact for
-thresholds of 80 and more.
+thresholds of 80 and more. Where it would not prune a block, because most names share their
+first words, the block's names are paired once each instead; the rows are the same.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from recordwell.operators.keys import keep_best, minus_ids
 from recordwell.session import broadcast_if_small, cut_lineage
 
 #: Names of one block that may try one gram before the comparison is dealt out to more tasks.
-TILE = 2_000
+TILE = 500
+
+#: The gram that all names of a block share where no filter is used.
+ALL = 0
 
 #: Duels of one group that a single task may stream through.
 GROUP_EDGES = 1_000_000
@@ -43,13 +47,27 @@ def _prefix_size(name: Column, threshold: int) -> Column:
     return n - 1 - _needed_overlap(n + shortest, threshold) + 1
 
 
+def _spare_grams(tried: DataFrame) -> DataFrame:
+    """One gram in common for all names of a block whose grams would give more pairs than the names have."""
+    names = tried.groupBy("block").agg(F.count("*").alias("names"))
+    uses = tried.select("block", F.explode("tried").alias("gram")).groupBy("block", "gram").agg(F.count("*").alias("uses"))
+    pairs = uses.groupBy("block").agg(F.sum(F.col("uses").cast("double") * F.col("uses")).alias("met"))
+    dull = cut_lineage(
+        names.join(pairs, names["block"].eqNullSafe(pairs["block"])).filter(F.col("met") >= F.col("names").cast("double") * F.col("names"))
+        .select(names["block"].alias("_dull"))
+    )
+    known = tried.join(broadcast_if_small(dull), F.col("block").eqNullSafe(F.col("_dull")), "left")
+    return known.select("block", "node", F.when(F.col("_dull").isNotNull(), F.array(F.lit(ALL).cast("bigint"))).otherwise(F.col("tried")).alias("tried"))
+
+
 def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: int = 85,
                   carry: Sequence[str] = (), tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of different names in one block whose similarity exceeds ``threshold``.
 
     ``df`` has one row per (block, name). ``a`` and ``b`` are structs of the name and
     the carried columns, a's name the smaller; null blocks equal each other. No task
-    compares more than about ``tile`` squared pairs for one gram.
+    compares more than about ``tile`` squared pairs for one gram, and a name is copied once
+    for every ``tile`` names that try the same gram.
     """
     if threshold < 80:
         raise ValueError("the gram filter is exact from a threshold of 80")
@@ -63,7 +81,8 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     grams = keyed.select("block", "node", F.posexplode(letters).alias("pos", "gram"), letters.alias("all"))
     # the n-th copy of a gram is a gram of its own, so that overlap counts copies
     nth = F.size(F.filter(F.slice("all", F.lit(1), F.col("pos") + 1), lambda g: g == F.col("gram")))
-    grams = grams.select("block", "node", F.xxhash64("gram", nth.alias("nth")).alias("gram"))
+    # rare within the block: what all its names share comes last, whatever other blocks hold
+    grams = grams.select("block", "node", F.xxhash64("block", "gram", nth.alias("nth")).alias("gram"))
     usage = grams.groupBy("gram").agg(F.count("*").alias("uses"))
     ranked = grams.join(usage, "gram").groupBy("block", "node").agg(
         F.array_sort(F.collect_list(F.struct("uses", "gram"))).alias("grams")
@@ -71,36 +90,38 @@ def similar_pairs(df: DataFrame, name: str, blocks: Sequence[str], threshold: in
     rarest = F.slice("grams", F.lit(1), F.least(F.size("grams"), _prefix_size(word, threshold)))
     # written once: both sides of the join read it
     tried = cut_lineage(ranked.select("block", "node", F.transform(rarest, lambda g: g["gram"]).alias("tried")))
-    probes = tried.select("block", "node", "tried", F.explode("tried").alias("gram")).withColumn(
-        "key", F.xxhash64("block", "gram")
-    )
-    # a gram that many names of a block try is work for many tasks: its left rows are dealt
-    # into shares, its right rows go to every share
-    shares = F.ceil(F.col("uses") * F.col("uses") / F.lit(tile * tile)).cast("int")
+    probes = _spare_grams(tried).select("block", "node", "tried", F.explode("tried").alias("gram"))
+    # a gram that many names of a block try is work for many tasks: its names are dealt into parts,
+    # and every two parts meet in a cell of a grid
     crowded = cut_lineage(
-        probes.groupBy("key").agg(F.count("*").alias("uses")).filter(F.col("uses") > tile)
-        .select(F.col("key").alias("_hot"), shares.alias("shares"))
-    )
-    probes = probes.join(broadcast_if_small(crowded), F.col("key") == F.col("_hot"), "left").withColumn(
-        "shares", F.coalesce("shares", F.lit(1))
+        probes.groupBy("block", "gram").agg(F.count("*").alias("uses")).filter(F.col("uses") > tile)
+        .select(F.col("block").alias("_block"), F.col("gram").alias("_gram"), F.ceil(F.col("uses") / F.lit(tile)).cast("int").alias("parts"))
     )
+    probes = probes.join(
+        broadcast_if_small(crowded), F.col("block").eqNullSafe(F.col("_block")) & (F.col("gram") == F.col("_gram")), "left"
+    ).withColumn("parts", F.coalesce("parts", F.lit(1)))
+    cells = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    part = F.pmod(F.xxhash64("node.name"), F.col("parts")).cast("int")
     left = probes.select(
-        "key", "block", "gram", F.pmod(F.xxhash64("node.name"), F.col("shares")).cast("int").alias("share"),
-        F.col("tried").alias("ta"), F.col("node").alias("a"),
+        "block", "gram", part.alias("row"), cells.alias("column"), F.col("tried").alias("ta"), F.col("node").alias("a"),
     )
     right = probes.select(
-        F.col("key").alias("rkey"), F.col("block").alias("rblock"), F.col("gram").alias("rgram"),
-        F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("rshare"),
+        F.col("block").alias("rblock"), F.col("gram").alias("rgram"), cells.alias("rrow"), part.alias("rcolumn"),
         F.col("tried").alias("tb"), F.col("node").alias("b"),
     )
+    # few bytes but many pairs: a stated number of partitions is not merged again by adaptive execution
+    session = df.sparkSession
+    spread = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism)
+    left = left.repartition(spread, "gram", "row", "column")
+    right = right.repartition(spread, "rgram", "rrow", "rcolumn")
     near = F.abs(F.length("a.name") - F.length("b.name")) <= edit_budget("a.name", "b.name", threshold)
     # a pair that shares several tried grams is taken at the smallest of them only
-    once = F.array_min(F.array_intersect("ta", "tb")) == F.col("gram")
+    once = (F.col("gram") == ALL) | (F.array_min(F.array_intersect("ta", "tb")) == F.col("gram"))
     candidates = left.join(
         right,
-        (F.col("key") == F.col("rkey"))
-        & (F.col("share") == F.col("rshare"))
-        & (F.col("gram") == F.col("rgram"))
+        (F.col("gram") == F.col("rgram"))
+        & (F.col("row") == F.col("rrow"))
+        & (F.col("column") == F.col("rcolumn"))
         & F.col("block").eqNullSafe(F.col("rblock"))
         & (F.col("a.name") < F.col("b.name"))
         & near

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordwell.functions.text import (
-    clean_text, facility_tier, first_nonblank, is_null_token, tier_bound, to_number,
+    clean_text, decimal_point, facility_tier, first_nonblank, is_null_token, nullify, tier_bound, to_number,
 )
 from recordwell.operators import checks
 from recordwell.operators.columns import (
@@ -303,18 +303,34 @@ def enrich(spark: SparkSession, source: str, out: str, **models) -> list[str]:
 def publish(spark: SparkSession, source: str, database: str) -> dict[str, DataFrame]:
     """Create the typed tables, refresh them parents first, and return the checks."""
     writers.create_tables(spark, database)
+
+    def prices(df: DataFrame) -> DataFrame:
+        """Prices still written as text get a decimal point; what is no number stays for the checks to see."""
+        texts = [c for c in ("price_public", "price_hospital") if c in df.columns and df.schema[c].dataType.simpleString() == "string"]
+        return df.withColumns({c: decimal_point(nullify(F.trim(c))) for c in texts})
+
     found = {t: readers.if_there(lambda t=t: spark.read.parquet(f"{source}/{t}")) for t in TABLES}
-    writers.load_tables({t: df for t, df in found.items() if df is not None}, database)
-    return verify({t: spark.table(f"{database}.{t}") for t in TABLES})
+    given = {t: df if t != "medications" else prices(df) for t, df in found.items() if df is not None}
+    writers.load_tables(given, database)
+    return verify({t: spark.table(f"{database}.{t}") for t in TABLES}, given)
 
 
-def verify(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Counts, key, reference and column checks over published tables."""
+def verify(tables: dict[str, DataFrame], given: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Counts, key, reference and column checks over published tables.
+
+    ``given`` has the frames before their columns were cast to the tables' types: a value that does not
+    fit is null afterwards, so the columns are checked there too.
+    """
+    given = given or {}
     out = {"counts": checks.table_counts(tables)}
     for name, df in tables.items():
         keys = list(PRIMARY_KEYS[name])
         out[f"{name}: keys"] = checks.duplicate_report(df, keys)
-        out[f"{name}: columns"] = checks.constraint_violations(df, CONSTRAINTS[name], keys[0])
+        broken = checks.constraint_violations(df, CONSTRAINTS[name], keys[0])
+        if name in given and keys[0] in given[name].columns:
+            before = checks.constraint_violations(given[name], CONSTRAINTS[name], keys[0])
+            broken = broken.unionByName(before.withColumn(keys[0], F.col(keys[0]).cast(df.schema[keys[0]].dataType))).distinct()
+        out[f"{name}: columns"] = broken
     for child, fk, parent, _ in FOREIGN_KEYS:
         if child in tables and parent in tables:
             out[f"{child}.{fk}: references"] = checks.orphan_keys(tables[child], fk, tables[parent], "id")

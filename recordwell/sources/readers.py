@@ -10,7 +10,7 @@ import csv
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from recordwell.functions.text import READER_NULL_TOKENS
@@ -19,6 +19,11 @@ from recordwell.functions.text import READER_NULL_TOKENS
 ORDER = "_ord"
 
 
+def file_order() -> Column:
+    """A row's place as text that sorts by file name, then by the place in the file."""
+    return F.concat_ws("/", F.input_file_name(), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+
+
 def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -94,7 +99,7 @@ def read_csv(
     )
     found = if_there(lambda: reader.csv(path)) if missing_ok else reader.csv(path)
     df = _null_tokens(found) if found is not None else empty(spark, _text_schema(columns))
-    return df.withColumn(ORDER, F.monotonically_increasing_id()) if with_order else df
+    return df.withColumn(ORDER, file_order()) if with_order else df
 
 
 def read_csv_with_preamble(
@@ -116,7 +121,7 @@ def read_csv_with_preamble(
     header = lines[at].lstrip("﻿").rstrip("\r") if lines else ""
     names = _unique([n.strip() for n in next(csv.reader([header]), [])])
     rows = _csv_rows(spark, path, [f"c{i}" for i in range(len(names))], multi_line)
-    rows = rows.withColumn(ORDER, F.monotonically_increasing_id()).filter(F.col(ORDER) > at)
+    rows = rows.withColumns({"_at": F.monotonically_increasing_id(), ORDER: file_order()}).filter(F.col("_at") > at)
     order = rows[ORDER]
     cleaned = rows.select(
         *[
@@ -157,7 +162,7 @@ def read_json_objects(
     whole = F.array(F.struct(*[F.col(f"`{f}`").alias(f) for f in fields]))
     rows = rows.select(F.explode(F.when(F.col("_corrupt").isNull(), whole).otherwise(items)).alias("r")).select("r.*")
     if with_order:
-        rows = rows.withColumn(ORDER, F.monotonically_increasing_id())
+        rows = rows.withColumn(ORDER, file_order())
     known = F.lit(False)
     for f in fields:
         known = known | F.col(f"`{f}`").isNotNull()

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 _TYPES = {
-    "INT": T.IntegerType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType(),
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType(),
     "DECIMAL(10,2)": T.DecimalType(10, 2), "DECIMAL(10,8)": T.DecimalType(10, 8),
     "DECIMAL(11,8)": T.DecimalType(11, 8),
 }
@@ -20,30 +20,30 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-# Target columns, types and text lengths of the eleven tables.
+# Target columns, types and text lengths of the eleven tables; generated ids are BIGINT.
 TABLES: dict[str, T.StructType] = {
-    "places": _struct("id INT, region STRING, province STRING, city STRING"),
-    "services": _struct("id INT, name STRING, description STRING"),
-    "equipment": _struct("id INT, name STRING, code STRING, category STRING"),
+    "places": _struct("id BIGINT, region STRING, province STRING, city STRING"),
+    "services": _struct("id BIGINT, name STRING, description STRING"),
+    "equipment": _struct("id BIGINT, name STRING, code STRING, category STRING"),
     "medications": _struct(
-        "id INT, name STRING, active_substance STRING, dosage STRING, form STRING, "
+        "id BIGINT, name STRING, active_substance STRING, dosage STRING, form STRING, "
         "presentation STRING, therapeutic_class STRING, manufacturer STRING, "
         "price_public DECIMAL(10,2), price_hospital DECIMAL(10,2), commercialization_status STRING"
     ),
     "suppliers": _struct(
-        "id INT, name STRING, category STRING, activity STRING, city STRING, "
+        "id BIGINT, name STRING, category STRING, activity STRING, city STRING, "
         "address STRING, phone STRING, responsible_pharmacist STRING"
     ),
     "hospitals": _struct(
-        "id INT, name STRING, place_id INT, address STRING, type STRING, beds INT, phone STRING, "
+        "id BIGINT, name STRING, place_id BIGINT, address STRING, type STRING, beds INT, phone STRING, "
         "email STRING, website STRING, latitude DECIMAL(10,8), longitude DECIMAL(11,8), "
         "source STRING, created_at TIMESTAMP"
     ),
-    "hospital_services": _struct("hospital_id INT, service_id INT"),
-    "hospital_equipment": _struct("hospital_id INT, equipment_id INT, quantity INT"),
-    "hospital_medications": _struct("hospital_id INT, medication_id INT, stock_quantity INT"),
-    "supplier_medications": _struct("supplier_id INT, medication_id INT"),
-    "supplier_equipment": _struct("supplier_id INT, equipment_id INT"),
+    "hospital_services": _struct("hospital_id BIGINT, service_id BIGINT"),
+    "hospital_equipment": _struct("hospital_id BIGINT, equipment_id BIGINT, quantity INT"),
+    "hospital_medications": _struct("hospital_id BIGINT, medication_id BIGINT, stock_quantity INT"),
+    "supplier_medications": _struct("supplier_id BIGINT, medication_id BIGINT"),
+    "supplier_equipment": _struct("supplier_id BIGINT, equipment_id BIGINT"),
 }
 
 #: Parents before children; also the order tables are loaded in.

@@ -15,6 +15,9 @@ from compare import rows_of  # noqa: E402
 #: Statements that aggregate to one row or take the top rows end in a single task by nature.
 ONE_TASK = {"preview", "dirty_count", "change_statistics", "table_counts"}
 
+#: Nothing at this size.
+MAY_BE_EMPTY: set[str] = set()
+
 
 @pytest.fixture(scope="module")
 def engine(folder):
@@ -36,12 +39,11 @@ def test_query(spark, engine, folder, name):
         names = [d[0] for d in result.description]
         assert sorted(names) == sorted(df.columns)
         assert mine == rows_of(names, result.fetchall())
-    else:
-        assert mine
+    assert mine or name in MAY_BE_EMPTY
 
 
-def test_only_sequential_rules_lack_a_statement():
-    assert set(QUERIES) - set(ORACLES) == {"fuzzy_dedup", "normalise_hospitals_fuzzy"}
+def test_every_query_has_a_statement():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", ["repair_places", "fuzzy_dedup", "dense_id", "sample_links", "apply_actions", "priority_union"])

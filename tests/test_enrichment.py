@@ -62,7 +62,7 @@ def test_repair_rounds_are_bounded(spark):
         return json.dumps([{"id": 1, "city": "x", "region": None, "action": "UPDATE"}])
 
     df, left = inference.repair_until_clean(people(spark, 5), useless, max_rounds=4)
-    assert left == 5 and asked.value == 1
+    assert left == 5 and asked.value == 4  # a round without effect does not end the repair
 
 
 FACILITIES = [
@@ -177,3 +177,43 @@ def test_product_reports(spark, rows):
     assert rows(reports["duplicates"]) == [("DOLIPRANE", "500 MG", "CP", 2)]
     assert rows(reports["dosage_mismatch"]) == [("DOLIPRANE", "PARACETAMOL + CAFEINE", "500 MG")]
     assert std.filter("id = 1").first().commercialization_status == "ok"
+
+
+def test_replies_out_of_shape_are_asked_again(spark):
+    def late(prompt, bad=["no json", '[{"id": 1}]']):  # the task's own list: two bad replies, then good ones
+        return bad.pop() if bad else answer(prompt)
+
+    prompts = spark.createDataFrame([(0, 'ROWS:\n[{"id": 1, "city": "fes"}]')], "batch_id long, prompt string")
+    done = inference.run_model(prompts, late, check=inference.is_actions, parallel=1).collect()
+    assert done[0].error is None and inference.is_actions(done[0].reply)
+    never = inference.run_model(prompts, lambda prompt: "{}", check=inference.is_actions).collect()
+    assert never[0].reply is None and never[0].error == "invalid reply"
+
+
+def test_replies_cannot_touch_rows_that_were_not_asked(spark):
+    rows = spark.createDataFrame([(1, "fes", None, None), (99, "rabat", "Rabat", "Rabat")], "id long, city string, region string, province string")
+
+    def foreign(prompt):
+        return json.dumps([{"id": 99, "action": "DELETE"}, {"id": 1, "city": "fes", "region": "Fès-Meknès", "province": "Fès", "action": "UPDATE"}])
+
+    assert sorted((r.id, r.region) for r in inference.repair_once(rows, foreign).collect()) == [(1, "Fès-Meknès"), (99, "Rabat")]
+
+
+def test_capacities_count_only_in_the_batch_that_asked(spark):
+    rows = spark.createDataFrame([(i, f"h{i}", "CHU") for i in range(1, 21)], "id long, name string, type string")
+
+    def mixed(prompt):
+        ids = [int(line.split()[2].rstrip(":")) for line in prompt.splitlines() if line.startswith("- ID")]
+        extra = [{"id": 15, "service_count": 1, "equipment_count": 1, "beds": 9999}, {"id": 777, "service_count": 1, "equipment_count": 1, "beds": 1}]
+        own = [{"id": i, "service_count": 2, "equipment_count": 3, "beds": i} for i in ids]
+        return json.dumps({"hospitals": (extra if 15 not in ids else []) + own})
+
+    got = {r.id: r.beds for r in inference.capacity_estimates(rows, mixed).collect()}
+    assert got == {i: i for i in range(1, 21)}
+
+
+def test_repeated_cache_rows_do_not_multiply_facilities(spark):
+    rows = spark.createDataFrame([(1, "A", "Fes", None, None, None, None, None)], "id long, name string, city string, address string, phone string, email string, website string, beds int")
+    cache = spark.createDataFrame([("A", "Fes", "rue 1", None, None, None, 5), ("A", "Fes", None, None, None, None, None)],
+                                  "name string, city string, address string, phone string, email string, website string, beds int")
+    assert [(r.id, r.address, r.beds) for r in inference.search_attributes(rows, cache, None).collect()] == [(1, "rue 1", 5)]

@@ -135,3 +135,16 @@ def test_stream_counts_every_file_once(spark, tmp_path, rows):
     assert run() == [(0,), (10,)]
     spark.range(2, 3).coalesce(1).write.mode("append").parquet(source)
     assert run() == [(0,), (10,), (20,)]
+
+
+def test_first_means_file_order_whatever_the_sizes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,first\n")
+    (tmp_path / "b.csv").write_text("k,v\n" + "x,second\n" * 2000)
+    df = readers.read_csv(spark, str(tmp_path), columns=["k", "v"], with_order=True)
+    from recordwell.operators.keys import keep_best
+    assert [r.v for r in keep_best(df, ["k"], [readers.ORDER]).collect()] == ["first"]
+
+
+def test_large_ids_are_published_whole(spark):
+    from recordwell.sources.writers import conform
+    assert conform(spark.createDataFrame([(3_000_000_000, "Fes")], "id long, city string"), "places").first().id == 3_000_000_000
