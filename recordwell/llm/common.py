@@ -10,6 +10,8 @@ from recordwell.session import cut_lineage
 HOT_SHARE = 1000
 #: Bits of one bitmap of ``bitmap_construct_agg``: a fixed property of that function.
 BITMAP_BITS = 32768
+#: Parts of a label that are ranked apart when a sample is chosen.
+SAMPLE_PARTS = 64
 
 
 def hot_size(total: int) -> int:
@@ -73,8 +75,11 @@ def bounded_sample(
     else:
         asked = labels.select(F.col(key).alias("_asked"), F.col(label).alias("label"))
         hashes = known.select(F.col(key).alias("_own"), F.col("_hash").alias("hash")).join(asked, F.col("_own") == F.col("_asked"))
-    order = Window.partitionBy("label").orderBy("hash")
-    chosen = cut_lineage(hashes.select("label", "hash").filter(F.col("label").isNotNull()).distinct().withColumn(
-        "place", F.row_number().over(order)).filter(F.col("place") <= per_label).select("label", "hash"))
+    chosen = hashes.select("label", "hash").filter(F.col("label").isNotNull()).distinct()
+    # the lowest of each part first, so that the last rank sees few rows however many tasks there are
+    for by in (["label", F.pmod("hash", F.lit(SAMPLE_PARTS))], ["label"]):
+        order = Window.partitionBy(*by).orderBy("hash")
+        chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).select("label", "hash")
+    chosen = cut_lineage(chosen)
     fetched = known.select(F.col("_hash"), F.col(text).alias("_text")).join(F.broadcast(chosen), F.col("_hash") == F.col("hash"))
     return fetched.groupBy("label", "hash").agg(F.min("_text").alias("text"))

@@ -17,8 +17,6 @@ are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -143,16 +141,14 @@ def train(
     """
     sample = bounded_sample(rows, language, text, texts, text_bytes)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, own in batch.groupby("label"):
-                parts = [paths(t.encode(), order) for t in own["text"]]
-                for k in range(order + 1):
-                    path, n = np.unique(np.concatenate(parts) & _mask(k), return_counts=True)
-                    yield pd.DataFrame({"language": name, "order": k, "path": path.astype(np.int64), "count": n})
+    def count(own: pd.DataFrame) -> pd.DataFrame:
+        every = np.concatenate([paths(t.encode(), order) for t in own["text"]])
+        found = [(k, *np.unique(every & _mask(k), return_counts=True)) for k in range(order + 1)]
+        return pd.concat([
+            pd.DataFrame({"language": own["label"].iloc[0], "order": k, "path": path.astype(np.int64), "count": n}) for k, path, n in found])
 
-    counted = sample.mapInPandas(count, "language string, order int, path long, count long")
-    counts = counted.groupBy("language", "order", "path").agg(F.sum("count").alias("count")).toPandas()
+    # a language's group has at most ``texts`` texts
+    counts = sample.groupBy("label").applyInPandas(count, "language string, order int, path long, count long").toPandas()
     return Trees(sorted(counts["language"].unique()), counts, order)
 
 
