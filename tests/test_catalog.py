@@ -15,8 +15,8 @@ from compare import rows_of  # noqa: E402
 #: Statements that aggregate to one row or take the top rows end in a single task by nature.
 ONE_TASK = {"preview", "dirty_count", "change_statistics", "table_counts"}
 
-#: Nothing at this size.
-MAY_BE_EMPTY: set[str] = set()
+#: No rows in the smallest tables; a tenfold table has some.
+MAY_BE_EMPTY = {"hospital_duplicates", "orphan_keys"}
 
 
 @pytest.fixture(scope="module")
