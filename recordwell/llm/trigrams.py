@@ -197,5 +197,12 @@ def scan_secrets(
 
 
 def _long(rule: Rule) -> str:
-    """A pattern that every text with a long enough match of the rule matches: cheap, no positions."""
-    return rule.pattern[:-1] + "{%d,}" % rule.least if rule.group == 0 and rule.pattern.endswith("+") else rule.pattern
+    """A pattern that every text with a long enough match of the rule matches: cheap, no positions.
+
+    Only where the rule is one repeated class is its match as long as its repeats; a literal in front counts too.
+    """
+    items = list(_parser.parse(rule.pattern))
+    if rule.group or not rule.pattern.endswith("+") or len(items) != 1 or items[0][0] is not _ops.MAX_REPEAT:
+        return rule.pattern
+    (_, (_, _, inner)) = items[0]
+    return rule.pattern[:-1] + "{%d,}" % rule.least if len(inner) == 1 and inner[0][0] is _ops.IN else rule.pattern
