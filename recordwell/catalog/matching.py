@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordwell.catalog.registry import View, query, table
+from recordwell.catalog.registry import LETTER_RUN, View, query, table
 from recordwell.functions import match, text
 from recordwell.operators.contain import containment_pairs, link_by_containment
 from recordwell.operators.fill import gap_fill, lookup_key
@@ -77,6 +77,16 @@ def _(spark, folder):
     return containment_pairs(hosts, "host", words.filter(F.length("word") >= 5).distinct(), "word").select("host", "word")
 
 
+@query("containment_all_words", "WITH h AS (SELECT DISTINCT split_part(url, '/', 3) AS host FROM pages), "
+       f"w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{LETTER_RUN}')) AS word FROM benchmark) "
+       "SELECT host, word FROM h JOIN w ON contains(host, word)")
+def _(spark, folder):
+    hosts = table(spark, folder, "pages").select(F.split_part("url", F.lit("/"), F.lit(3)).alias("host")).distinct()
+    words = table(spark, folder, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTER_RUN), F.lit(0))).alias("word"))
+    return containment_pairs(hosts, "host", words.distinct(), "word").select("host", "word")
+
+
 # Facility names with variants, a city that holds a third of all rows, and rows without a city.
 FACILITIES = View(
     "part",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordwell.catalog.registry import PLACES, STAGED, fold_sql, query, table
+from recordwell.catalog.registry import LETTER_RUN, PLACES, STAGED, fold_sql, query, table
 from recordwell.functions import match, text
 from recordwell.functions.match import LETTERS, SOUNDEX_DIGITS
 from recordwell.operators.columns import when_pending
@@ -244,3 +244,43 @@ def _(spark, folder):
     best = pairs.groupBy("word").agg(
         F.min(F.struct("distance", (-F.col("uses")).alias("u"), "known")).alias("m"))
     return best.select("word", F.col("m.known").alias("known"), F.col("m.distance").alias("distance"))
+
+
+# Every word of any script and length on both sides. Words within two edits are equal after two deletions at most on each side.
+# The other engine's levenshtein counts bytes, so the letters of a pair are first numbered (up to 127 different ones).
+_LETTER_CODES = "array_to_string(list_transform(range(1, 128), lambda i: chr(i::INT)), '')"
+_PAIR_LETTERS = "array_to_string(list_distinct(string_split(word || known, '')), '')"
+_LETTER_EDITS = (
+    "CASE WHEN strlen(word || known) = length(word || known) THEN levenshtein(word, known) "
+    f"ELSE levenshtein(translate(word, {_PAIR_LETTERS}, {_LETTER_CODES}), translate(known, {_PAIR_LETTERS}, {_LETTER_CODES})) END"
+)
+
+
+def _shorter(words: str) -> str:
+    """Every text left by deleting one letter from each of a list of words."""
+    return (f"list_distinct(flatten(list_transform({words}, lambda x: list_transform(range(1, length(x) + 1), "
+            "lambda i: substr(x, 1, i - 1) || substr(x, i + 1)))))")
+
+
+_ALL_WORDS = (
+    f"words AS (SELECT w, count(*) AS uses FROM (SELECT unnest(regexp_extract_all(lower(text), '{LETTER_RUN}')) AS w FROM documents) GROUP BY w), "
+    f"once AS (SELECT w, {_shorter('[w]')} AS less FROM words), "
+    f"left_over AS (SELECT w, unnest(list_distinct([w] || less || {_shorter('less')})) AS v FROM once), "
+    "met AS (SELECT DISTINCT a.w AS word, b.w AS known FROM left_over a JOIN left_over b ON a.v = b.v AND a.w <> b.w)"
+)
+
+
+@query("edit_distance_all_words", f"WITH {_ALL_WORDS}, near AS (SELECT word, known, {_LETTER_EDITS} AS distance, uses FROM met JOIN words ON known = w) "
+       "SELECT word, known, CAST(distance AS INT) AS distance FROM near WHERE distance <= 2 "
+       "QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, uses DESC, known) = 1")
+def _(spark, folder):
+    words = cut_lineage(
+        table(spark, folder, "documents")
+        .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTER_RUN), F.lit(0))).alias("w"))
+        .groupBy("w").agg(F.count("*").alias("uses"))
+    )
+    known = words.select(F.col("w").alias("known"), "uses")
+    pairs = edit_distance_pairs(words.select(F.col("w").alias("word")), known, "word", "known", 2)
+    best = pairs.groupBy("word").agg(
+        F.min(F.struct("distance", (-F.col("uses")).alias("u"), "known")).alias("m"))
+    return best.select("word", F.col("m.known").alias("known"), F.col("m.distance").alias("distance"))

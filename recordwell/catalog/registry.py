@@ -52,6 +52,10 @@ def fold_sql(c: str) -> str:
     return f"lower(strip_accents({c}))"
 
 
+#: A whole word of any script: letters and the marks that belong to them. Both engines read it alike.
+LETTER_RUN = r"[\p{L}\p{M}]+"
+
+
 # Place rows: names with typos, streets, containers, missing spaces, other scripts, names nobody knows; gaps in region.
 _BROKEN = (
     "p_partkey % 17 = 3 OR p_partkey % 13 = 5 OR p_partkey % 11 = 7 OR p_partkey % 19 = 4 "

@@ -1,8 +1,10 @@
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordwell.catalog import QUERIES
 from recordwell.operators.contain import containment_pairs, drop_containers, link_by_containment
 from recordwell.operators.edits import edit_distance_pairs, typo_match
 from recordwell.operators.fill import (
@@ -50,6 +52,45 @@ def test_edit_join_finds_every_pair(spark, k):
     assert any(len(a) > 32 for a, _, _ in wanted) and any(len(a) < 3 for a, _, _ in wanted)
 
 
+#: Words of several scripts, of one letter and of many, used once and often.
+SCRIPTS = [
+    "Élève élèves eleve a à b 東京 東京都 京 Москва москвы москва naïve naive naïveté", "straße strasse STRASSE, x-ray हिन्दी हिन्दि؛ مدينة مدينه",
+    "cafe\u0301 café cafés " + "ab" * 40 + " " + "ab" * 39 + "ba " + "é" * 70 + " " + "é" * 71, "élève naive naive b", None, "", "1234 !?",
+]
+
+
+def distinct_words(texts):
+    uses = {}
+    for text in texts:
+        run = ""
+        for c in (text or "").lower() + " ":
+            if unicodedata.category(c)[0] in "LM":
+                run += c
+            elif run:
+                uses[run], run = uses.get(run, 0) + 1, ""
+    return uses
+
+
+def test_edits_cover_all_words_of_any_script(spark, tmp_path, rows):
+    spark.createDataFrame([(t,) for t in SCRIPTS], "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    uses, wanted = distinct_words(SCRIPTS), []
+    for a in uses:
+        near = [(edits(a, b), -uses[b], b) for b in uses if a != b and edits(a, b) <= 2]
+        wanted += [(a, min(near)[2], min(near)[0])] if near else []
+    got = rows(QUERIES["edit_distance_all_words"](spark, str(tmp_path)), "word", "known", "distance")
+    assert got == sorted(wanted, key=repr)
+    assert {"élève", "東京", "b", "é" * 70} <= {a for a, _, _ in got}
+
+
+def test_containment_covers_all_words_of_any_script(spark, tmp_path, rows):
+    hosts = ["élève.example", "a.b", "東京都.jp", "москва.рф", "www.naive.org", ""]
+    spark.createDataFrame([(f"https://{h}/x",) for h in hosts] + [(None,)], "url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(t,) for t in SCRIPTS], "text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = rows(QUERIES["containment_all_words"](spark, str(tmp_path)), "host", "word")
+    assert got == sorted(((h, w) for h in hosts for w in distinct_words(SCRIPTS) if w in h), key=repr)
+    assert {("a.b", "b"), ("東京都.jp", "京"), ("élève.example", "élève"), ("москва.рф", "москва")} <= set(got)
+
+
 def test_typo_match_prefers_distance_then_id(spark, rows):
     df = spark.createDataFrame([
         (1, "RABAT", "r1", "p1"), (2, "RABAS", "r2", "p2"), (3, "RABATS", None, None), (4, "RABBATTT", None, None),
