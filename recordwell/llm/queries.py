@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordwell.llm import bloom, common, compression, lines, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
+from recordwell.llm import bloom, common, compression, lines, merkle, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,66 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     weighted = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), resampling.importance(F.col("text"), weights, spark).alias("log_weight"))
     return resampling.resample(weighted, -(-4 * docs.count() // 5)).drop("text_hash")
+
+
+@query
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, witness and root, and the root that its text without line breaks would lead to."""
+    docs = table(spark, folder, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    text = F.when(tampered, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    found = F.unhex(merkle.leaf([text if f == "text" else F.col(f) for f in merkle.FIELDS]))
+    rows = merkle.folded(merkle.manifest(docs, found=found), F.col("found"))
+    digests = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root", "folded_root")}
+    return rows.select(
+        F.col("key").alias("doc_id"), *[d.alias(c) for c, d in digests.items()],
+        F.sha2(F.lower(F.hex("witness")).cast("binary"), 256).alias("proof_sha256"),
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _digested(field: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({field} AS VARCHAR)) AS VARCHAR) || ':' || CAST({field} AS VARCHAR), '-')"
+
+
+_FIELDS = " || ".join(_digested(field) for field in ("doc_id", "source", "lang", "n_chars", "text"))
+_CRC = (
+    "xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)), "
+    "lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda a, step: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"
+)
+_RISE = """SELECT level + 1, {keys} place // 3, sha256(string_agg(node, '' ORDER BY place)), any_value((n + 2) // 3)
+  FROM {tree} WHERE n > 1 GROUP BY level, {keys} place // 3"""
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, sha256({_FIELDS}) AS leaf,
+         sha256({_FIELDS.replace("text", "other")}) AS altered
+  FROM (SELECT *, CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents)
+), rows AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), tree AS (
+  SELECT 0 AS level, source, place, leaf AS node, n FROM rows
+  UNION ALL {_RISE.format(keys="source,", tree="tree")}
+), subroots AS (
+  SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1
+), forest AS (
+  SELECT 0 AS level, place, node, n FROM subroots
+  UNION ALL {_RISE.format(keys="", tree="forest")}
+), climb AS (
+  SELECT 0 AS level, doc_id, leaf, source, place, altered AS node, '' AS seen, n FROM rows
+  UNION ALL
+  SELECT c.level + 1, c.doc_id, c.leaf, c.source, c.place // 3, sha256(string_agg(CASE WHEN t.place = c.place THEN c.node ELSE t.node END, '' ORDER BY t.place)),
+         c.seen || coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place <> c.place), ''), any_value((c.n + 2) // 3)
+  FROM climb c JOIN tree t ON t.source IS NOT DISTINCT FROM c.source AND t.level = c.level AND t.place // 3 = c.place // 3
+  WHERE c.n > 1 GROUP BY c.level, c.doc_id, c.leaf, c.source, c.place, c.seen
+), crown AS (
+  SELECT 0 AS level, c.doc_id, c.leaf, s.node AS subroot, s.place, c.node, c.seen, s.n
+  FROM climb c JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source WHERE c.n = 1
+  UNION ALL
+  SELECT c.level + 1, c.doc_id, c.leaf, c.subroot, c.place // 3, sha256(string_agg(CASE WHEN t.place = c.place THEN c.node ELSE t.node END, '' ORDER BY t.place)),
+         c.seen || coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place <> c.place), ''), any_value((c.n + 2) // 3)
+  FROM crown c JOIN forest t ON t.level = c.level AND t.place // 3 = c.place // 3
+  WHERE c.n > 1 GROUP BY c.level, c.doc_id, c.leaf, c.subroot, c.place, c.seen, c.node
+)
+SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM crown, (SELECT node AS root FROM forest WHERE n = 1) WHERE n = 1
+"""
