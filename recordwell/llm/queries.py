@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordwell.llm import bloom, common, compression, lines, merkle, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
+from recordwell.llm import bloom, common, compression, crf, lines, merkle, nra, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,6 +168,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(weighted, -(-4 * docs.count() // 5)).drop("text_hash")
 
 
+@query
+def op12_line_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of every document and whether it stays, by a field learnt from the labelled rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    field = crf.train(docs.filter(~common.is_held_out("doc_id")), table(spark, folder, "labels"))
+    return docs.select("doc_id", crf.judge(F.col("text"), field, spark).alias("found")).select("doc_id", "found.*")
+
+
 @query
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf, witness and root, and the root that its text without line breaks would lead to."""
@@ -229,3 +237,36 @@ WITH RECURSIVE leaves AS (
 SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, node AS folded_root, node = root AS verified
 FROM crown, (SELECT node AS root FROM forest WHERE n = 1) WHERE n = 1
 """
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    found = nra.top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+ORACLES["op11_ranked_search"] = f"""
+WITH own AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents
+), lengths AS (
+  SELECT row, doc_id, len(terms) AS n FROM own WHERE len(terms) > 0
+), sums AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), postings AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM own) WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, sums GROUP BY term, docs
+), scores AS (
+  SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (row), sums GROUP BY item_id, doc_id, row
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
