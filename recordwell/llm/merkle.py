@@ -192,9 +192,10 @@ def manifest(
     """
     # a source as text that sorts null first; the trees' own key
     tree = F.coalesce(F.concat(F.lit("1"), F.col(source)), F.lit("0"))
-    rows = docs.select(
+    # texts are digested once; what is sampled and sorted afterwards is narrow
+    rows = cut_lineage(docs.select(
         F.col(key).alias("key"), F.col(source).alias("source"), tree.alias("tree"),
-        F.unhex(leaf([F.col(f) for f in fields])).alias("node"), *[column.alias(name) for name, column in extra.items()])
+        F.unhex(leaf([F.col(f) for f in fields])).alias("node"), *[column.alias(name) for name, column in extra.items()]))
     built = ascend(numbered(rows, "tree", ["key", "node"]), height)
     # all sources form one tree, whose leaves are their subroots
     forest = numbered(tops(built, height).select(F.lit("sources").alias("tree"), "node", F.col("tree").alias("own")), "tree", ["own"])
