@@ -10,8 +10,8 @@ from recordwell.session import cut_lineage
 HOT_SHARE = 1000
 #: Bits of one bitmap of ``bitmap_construct_agg``: a fixed property of that function.
 BITMAP_BITS = 32768
-#: Parts of a label that are ranked apart when a sample is chosen.
-SAMPLE_PARTS = 64
+#: How many times the wanted sample is ranked; hashes above the bound that leaves so many are never moved.
+SPARE = 2
 
 
 def hot_size(total: int) -> int:
@@ -66,8 +66,10 @@ def bounded_sample(
 
     The label is a column of ``rows``, or of ``labels`` (key, label), which may label a document several times.
     The lowest hashes of the texts win, so the sample depends neither on order nor on partitioning, and
-    a text that many rows repeat is taken once. Only ids and hashes shuffle: they are ranked, at most
-    ``per_label`` a label in each map task, and the texts of the chosen few are fetched by a bounded broadcast.
+    a text that many rows repeat is taken once. Hashes are evenly spread, so the number of different ones
+    of a label (a sketch) gives the bound below which twice the wanted sample lies; only hashes below it shuffle
+    and are ranked, whatever the number of rows. Should a bound leave too few, it is raised and the choice made again.
+    The texts of the chosen few are fetched by a bounded broadcast.
     """
     known = rows.filter((F.octet_length(text) > 0) & (F.octet_length(text) <= max_bytes)).withColumn("_hash", F.xxhash64(text))
     if labels is None:
@@ -75,11 +77,26 @@ def bounded_sample(
     else:
         asked = labels.select(F.col(key).alias("_asked"), F.col(label).alias("label"))
         hashes = known.select(F.col(key).alias("_own"), F.col("_hash").alias("hash")).join(asked, F.col("_own") == F.col("_asked"))
-    chosen = hashes.select("label", "hash").filter(F.col("label").isNotNull()).distinct()
-    # the lowest of each part first, so that the last rank sees few rows however many tasks there are
-    for by in (["label", F.pmod("hash", F.lit(SAMPLE_PARTS))], ["label"]):
-        order = Window.partitionBy(*by).orderBy("hash")
-        chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).select("label", "hash")
-    chosen = cut_lineage(chosen)
+    hashes = hashes.select("label", "hash").filter(F.col("label").isNotNull())
+    different = hashes.groupBy("label").agg(F.approx_count_distinct("hash").alias("n"))
+    # one row a label
+    share = {r.label: min(1.0, SPARE * per_label / max(1, r.n)) for r in different.collect()}
+    while True:
+        chosen = cut_lineage(_lowest(hashes, share, per_label))
+        found = dict(chosen.groupBy("label").count().collect())
+        few = [name for name, part in share.items() if part < 1 and found.get(name, 0) < per_label]
+        if not few:
+            break
+        share |= {name: min(1.0, 4 * share[name]) for name in few}
     fetched = known.select(F.col("_hash"), F.col(text).alias("_text")).join(F.broadcast(chosen), F.col("_hash") == F.col("hash"))
     return fetched.groupBy("label", "hash").agg(F.min("_text").alias("text"))
+
+
+def _lowest(hashes: DataFrame, share: dict, per_label: int) -> DataFrame:
+    """The ``per_label`` lowest hashes of each label among those in the label's share of the hash range."""
+    if not share:
+        return hashes.limit(0)
+    ends = F.create_map(*[F.lit(v) for name, part in share.items() for v in (name, min(2 ** 63 - 1, int((2 * part - 1) * 2 ** 63)))])
+    low = hashes.filter(F.col("hash") <= ends[F.col("label")]).distinct()
+    order = Window.partitionBy("label").orderBy("hash")
+    return low.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).select("label", "hash")
