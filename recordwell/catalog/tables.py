@@ -18,7 +18,7 @@ from recordwell.streaming.incremental import process_new_files
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 
-def _scratch(spark, name: str) -> str:
+def scratch(spark, name: str) -> str:
     """A folder of its own under the shared one."""
     return f"{ensure_checkpoint_dir(spark)}/recordwell/{name}-{uuid.uuid4().hex}"
 
@@ -80,14 +80,14 @@ def _(spark, folder):
 def _(spark, folder):
     label = F.when(F.col("p_partkey") % 9 == 0, "N/A").otherwise(
         F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"\n'), "p_type"))
-    path = _scratch(spark, "csv")
+    path = scratch(spark, "csv")
     writers.write_csv(table(spark, folder, "part").select("p_partkey", label.alias("label")), path)
     return readers.read_csv(spark, path)
 
 
 @query("json_round_trip", "SELECT CAST(c_custkey AS VARCHAR) AS \"ID\", c_name AS \"NOM\", CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS \"VILLE\" FROM customer")
 def _(spark, folder):
-    path = _scratch(spark, "json")
+    path = scratch(spark, "json")
     df = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("ID"), F.col("c_name").alias("NOM"),
         F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("VILLE"))
@@ -99,7 +99,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Three slices, the second written twice: every order is in the ledger once."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    ledger = Ledger(spark, _scratch(spark, "ledger"), orders.schema, "o_orderkey")
+    ledger = Ledger(spark, scratch(spark, "ledger"), orders.schema, "o_orderkey")
     ledger.append(orders.filter("o_orderstatus = 'F'"), 0)
     ledger.append(orders.filter("o_orderstatus = 'O'"), 1)
     ledger.append(orders.filter("o_orderstatus = 'O'"), 1)
@@ -110,7 +110,7 @@ def _(spark, folder):
 @query("stream_clean", "SELECT event_id, upper(event_type) AS event_type FROM events")
 def _(spark, folder):
     schema = table(spark, folder, "events").schema
-    out = _scratch(spark, "stream")
+    out = scratch(spark, "stream")
     stream = process_new_files(
         spark, folder, schema, f"{out}/rows", f"{out}/state",
         lambda df: df.select("event_id", F.upper(clean_text("event_type")).alias("event_type")),

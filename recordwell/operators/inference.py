@@ -104,6 +104,26 @@ def is_capacities(reply: str) -> bool:
     return isinstance(found, dict) and isinstance(found.get("hospitals"), list)
 
 
+def is_attributes(reply: str) -> bool:
+    """A JSON object that has one of the attributes at least."""
+    found = _json(reply)
+    return isinstance(found, dict) and bool(found.keys() & {*CONTACT_FIELDS, *ZERO_FIELDS})
+
+
+def ask(model: Model, prompt: str, retries: int, check: Callable[[str], bool] | None) -> tuple[str | None, str | None, int]:
+    """(reply, error, calls made): calls are repeated until a reply passes, at most ``retries`` in all."""
+    error = None
+    for n in range(1, max(1, retries) + 1):
+        try:
+            reply = model(prompt)
+            if check is None or check(reply):
+                return reply, None, n
+            error = "invalid reply"
+        except Exception as problem:  # the model is foreign code; its failure is data
+            error = f"{type(problem).__name__}: {problem}"
+    return None, error, n
+
+
 def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries: int = REPAIR_RETRIES,
               parallel: int | None = None, check: Callable[[str], bool] | None = None) -> DataFrame:
     """Call the model once per row of (key, prompt): (key, reply, error).
@@ -116,24 +136,12 @@ def run_model(prompts: DataFrame, model: Model, key: str = "batch_id", retries:
     kind = prompts.schema[key].dataType.simpleString()
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def one(prompt: str) -> tuple[str | None, str | None]:
-            error = None
-            for _ in range(max(1, retries)):
-                try:
-                    reply = model(prompt)
-                    if check is None or check(reply):
-                        return reply, None
-                    error = "invalid reply"
-                except Exception as problem:  # the model is foreign code; its failure is data
-                    error = f"{type(problem).__name__}: {problem}"
-            return None, error
-
         for frame in frames:
-            answers = [one(p) for p in frame["prompt"]]
+            answers = [ask(model, p, retries, check) for p in frame["prompt"]]
             yield pd.DataFrame({
                 key: frame[key],
-                "reply": pd.Series([a for a, _ in answers], dtype="object"),
-                "error": pd.Series([e for _, e in answers], dtype="object"),
+                "reply": pd.Series([a for a, _, _ in answers], dtype="object"),
+                "error": pd.Series([e for _, e, _ in answers], dtype="object"),
             })
 
     calls = prompts.select(key, "prompt")
@@ -221,7 +229,7 @@ def search_attributes(rows: DataFrame, cache: DataFrame | None, model: Model | N
     prompts = questions.select(
         "call_id", attribute_prompt(F.col("_ask.name"), F.col("_ask.city"), F.col("_missing")).alias("prompt")
     )
-    replies = cut_lineage(run_model(prompts, model, key="call_id", parallel=parallel))
+    replies = cut_lineage(run_model(prompts, model, key="call_id", parallel=parallel, check=is_attributes))
     answered = questions.join(replies, "call_id").filter(F.col("reply").isNotNull()).select(
         F.col("_ask").alias("_answered"), checked_attributes(F.col("reply")).alias("_found")
     )

@@ -37,7 +37,7 @@ def _null_tokens(df: DataFrame) -> DataFrame:
     ])
 
 
-def _unique(names: Sequence[str]) -> list[str]:
+def unique_names(names: Sequence[str]) -> list[str]:
     """Make repeated header names distinct (``name``, ``name.1``), as pandas does."""
     seen: dict[str, int] = {}
     out = []
@@ -119,7 +119,7 @@ def read_csv_with_preamble(
     lines = [line for line in head if line.strip()]
     at = next((i for i, line in enumerate(lines) if any(w in line for w in header_words)), 0)
     header = lines[at].lstrip("﻿").rstrip("\r") if lines else ""
-    names = _unique([n.strip() for n in next(csv.reader([header]), [])])
+    names = unique_names([n.strip() for n in next(csv.reader([header]), [])])
     rows = _csv_rows(spark, path, [f"c{i}" for i in range(len(names))], multi_line)
     rows = rows.withColumns({"_at": F.monotonically_increasing_id(), ORDER: file_order()}).filter(F.col("_at") > at)
     order = rows[ORDER]
