@@ -230,12 +230,13 @@ def records(spark: SparkSession, path: str, grammar: Grammar, chunk: int = CHUNK
         return pd.Series([grammar.cut(*row) for row in zip(texts, states, depths)], dtype=object)
 
     cuts = placed.withColumn("_pieces", cut("text", "state", "depth"))
-    pieces = cut_lineage(cuts.select(
+    # cut twice, once for whole records and once for borders: cheaper than storing all text again
+    pieces = cuts.select(
         "file", "place", "n", "record", "whole", F.size("_pieces").alias("_size"), F.posexplode("_pieces").alias("_at", "text"),
     ).select(
         "file", "place", "n", "whole", (F.col("record") + F.col("_at")).alias("record"), "text",
         # the first and the last piece of a chunk may go on in others
-        ((F.col("_at") == 0) | (F.col("_at") == F.col("_size") - 1)).alias("open")))
+        ((F.col("_at") == 0) | (F.col("_at") == F.col("_size") - 1)).alias("open"))
     inner = pieces.filter(~F.col("open")).select(*schema.names)
     border = pieces.filter("open").groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("place", "n", "text"))).alias("_parts"), F.min("whole").alias("whole"))
