@@ -1,24 +1,28 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are built from labelled text. Both share one trained on ordinary windows;
-the toxic one has, in front of it, the words that tell toxic text from ordinary (zstandard's own trainer
-picks what is frequent, which in a toxic document is ordinary prose), the ordinary one has as many bytes
-of ordinary text there. A window of a text that the toxic dictionary compresses to fewer bytes counts
-for toxicity; neighbouring windows overlap and their gains are added, which evens out chance matches. How
-much a gain of so many bytes counts is calibrated on labelled text: the logarithm of how much more often
-toxic text has that gain. A text's evidence is the sum over its windows; a logistic curve over the evidence
-and the number of windows, weighted by the share of toxic labels, gives the score.
-
-Training reads a bounded sample (``train``). Defined results: null and empty texts have one empty
-window and get the score of no evidence; with only one label, or none, to learn from, every score is
-the share of toxic labels (0 without labels). Whole texts are scored, window by window. Other columns are not
-looked at.
+zstandard trains two dictionaries apart, one on toxic and one on ordinary text. A text is read in windows, a word with its
+spaces each; what the ordinary dictionary needs more than the toxic one to compress a window, in bytes, is its
+gain. How much a gain is worth is calibrated on labelled texts that trained neither dictionary: the logarithm of how much more
+often toxic text has it, made rising. A text's evidence is its best stretch: the highest sum of worths, less ``DRIFT`` a
+window, over neighbouring windows. It does not add up over long ordinary text, so a short toxic passage counts
+as much in 100 kB as alone. A logistic curve over the evidence, weighted by the share of toxic labels, gives the score.
+
+A toxic text is mostly ordinary prose, and a trainer takes what is frequent. So both dictionaries are trained in rounds: texts are
+dealt into folds, dictionaries from the other folds compress a fold's windows, and the windows of highest gain, toxic and
+ordinary alike, are what the next round trains on. The toxic dictionary comes to hold what sets toxic text apart, the ordinary one
+what merely looks like it. Passages that several sampled texts share count once.
+
+zstandard stores very short inputs as they are, so a window is compressed three times over; the gain is that of its first time.
+Words longer than ``WINDOW`` bytes, as in scripts without spaces, are several windows that overlap by half.
+
+Training reads a bounded sample (``train``). Defined results: null and empty texts and texts without a letter have no
+window and get the score of no evidence; with only one label, or none, to learn from, every score is the share of
+toxic labels (0 without labels). Equal texts have equal scores. Whole texts are scored. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -27,120 +31,186 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordwell.llm.common import bounded_sample
 
-#: Bytes of a window and from one window to the next.
-WINDOW, STEP = 64, 24
-#: Bytes trained, of which the best are kept, and the compression level.
-TRAINED, KEPT, LEVEL = 12000, 4096, 5
-#: A telling word has this many letters, is in this share of the toxic texts, and is this many times
-#: as frequent among the contexts of toxic text.
-WORD_BYTES, SHARE, LIFT = 4, 0.1, 8.0
+#: Most bytes of a window, and how often it is compressed over.
+WINDOW, TIMES = 24, 3
+#: Rounds of training: bytes of the dictionaries, share of the windows that the next round trains on; bytes of the last ones.
+ROUNDS, KEPT = ((65536, 0.2), (32768, 0.1), (32768, 0.05)), 8192
+#: Folds of the texts that train, and one part in so many that calibrates instead.
+FOLDS, CALIBRATES = 3, 4
+#: Bytes of the segments that the trainer picks and of the sequences it counts, windows of a training sample.
+SEGMENT, SEQUENCE, TOGETHER = 12, 6, 8
+#: Words of a passage that is counted once.
+PASSAGE = 4
 #: Gains outside are counted as the nearest one inside.
-LEAST_GAIN, MOST_GAIN = -2, 16
-#: Bounds of the evidence, so that no text outweighs the calibration.
-EVIDENCE = (-4.0, 12.0)
-#: Bounds of the training sample: different toxic texts, different ordinary texts, bytes of one text.
-TEXTS, TEXT_BYTES = 1500, 32768
+LEAST_GAIN, MOST_GAIN = -8, 14
+#: What every window costs a stretch, and the most evidence there is.
+DRIFT, MOST_EVIDENCE = 0.2, 20.0
+#: Bounds of the training sample: different texts of each label, bytes of one text.
+TEXTS, TEXT_BYTES = 2000, 32768
+#: Gains that a task remembers.
+REMEMBERED = 1 << 18
 
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
-def windows(text: bytes) -> list[bytes]:
-    """Overlapping windows that cover the whole text."""
-    return [text[i:i + WINDOW] for i in range(0, max(1, len(text) - (WINDOW - STEP)), STEP)]
+def windows(text: str | None) -> list[bytes]:
+    """The words of the text, lower-cased; long ones in overlapping parts that cover them."""
+    out = []
+    for word in WORD.findall((text or "").lower().encode()):
+        if len(word) <= WINDOW:
+            out.append(word)
+        else:
+            out += [word[i:i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
+    return out
+
+
+def once(texts: list[list[bytes]]) -> list[list[bytes]]:
+    """The texts' windows without those in a passage that an earlier text holds."""
+    seen: set[tuple[bytes, ...]] = set()
+    out = []
+    for own in texts:
+        passages = [tuple(own[i:i + PASSAGE]) for i in range(len(own) - PASSAGE + 1)]
+        known = {j for i, passage in enumerate(passages) if passage in seen for j in range(i, i + PASSAGE)}
+        seen.update(passages)
+        out.append([window for i, window in enumerate(own) if i not in known])
+    return out
+
+
+def trained(own: list[bytes], size: int) -> bytes:
+    """A dictionary trained on windows, neighbours together."""
+    samples = [b" " + b" ".join(own[i:i + TOGETHER]) + b" " for i in range(0, len(own), TOGETHER)]
+    try:
+        return zstandard.train_dictionary(size, samples, k=SEGMENT, d=SEQUENCE, level=3).as_bytes()
+    except (zstandard.ZstdError, ValueError):  # too few samples to train on: the samples themselves
+        return b"".join(samples)[-size:] or b" " * 8
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words that tell toxic text from ordinary, the most frequent last.
+class Gain:
+    """Bytes that one dictionary saves over the other, by window."""
 
-    Frequencies count different contexts (a word with its neighbours), so copies count once.
-    """
-    def counted(texts: list[bytes]) -> tuple[Counter, Counter]:
-        contexts, texts_with = set(), Counter()
-        for text in texts:
-            words = [b"", *WORD.findall(text), b""]
-            contexts.update(zip(words, words[1:], words[2:]))
-            texts_with.update(set(words))
-        return Counter(word for _, word, _ in contexts), texts_with
-
-    (seen, within), (other, _) = counted(toxic), counted(ordinary)
-    all_seen, all_other = max(1, seen.total()), max(1, other.total())
-    telling = [
-        word for word, count in seen.items()
-        if len(word) >= WORD_BYTES and min(count, within[word]) >= SHARE * len(toxic)
-        and count / all_seen > LIFT * (other[word] + 0.5) / all_other
-    ]
-    return sorted(telling, key=lambda word: (seen[word], word))
-
-
-def _trained(samples: list[bytes], size: int) -> bytes:
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):  # too few samples to train on
-        return b"".join(samples)[-size:]
+    def __init__(self, toxic: bytes, ordinary: bytes):
+        self.dictionaries = (toxic, ordinary)
+        self._open()
+
+    def _open(self) -> None:
+        self._remembered: dict[bytes, int] = {}
+        options = zstandard.ZstdCompressionParameters(
+            window_log=17, chain_log=15, hash_log=15, search_log=4, min_match=3, target_length=32,
+            strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
+        compressors = []
+        for content in self.dictionaries:
+            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_AUTO)
+            data.precompute_compress(compression_params=options)
+            compressors.append(zstandard.ZstdCompressor(compression_params=options, dict_data=data))
+        self._toxic, self._ordinary = compressors
+
+    def __getstate__(self) -> tuple[bytes, bytes]:
+        return self.dictionaries
+
+    def __setstate__(self, state: tuple[bytes, bytes]) -> None:
+        self.dictionaries = state
+        self._open()
+
+    def measured(self, window: bytes) -> int:
+        whole = (b" " + window) * TIMES + b" "
+        gain = len(self._ordinary.compress(whole)) - len(self._toxic.compress(whole))
+        return min(max(gain, LEAST_GAIN), MOST_GAIN)
+
+    def of(self, own: list[bytes]) -> np.ndarray:
+        known = self._remembered
+        if len(known) > REMEMBERED:
+            known.clear()
+        for window in set(own):
+            if window not in known:
+                known[window] = self.measured(window)
+        return np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+
+
+def _highest(gain: Gain, texts: list[list[bytes]], share: float) -> list[bytes]:
+    """The share of all windows with the highest gains, in order of the texts."""
+    own = [window for text in texts for window in text]
+    order = np.argsort(-gain.of(own), kind="stable")[:int(len(own) * share)]
+    return [own[i] for i in np.sort(order)]
+
+
+def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Gain:
+    """The two dictionaries, from the windows of toxic and of ordinary texts."""
+    folds = [[texts[i::FOLDS] for i in range(FOLDS)] for texts in (toxic, ordinary)]
+    chosen = [[[w for text in fold for w in text] for fold in kind] for kind in folds]
+    for size, share in ROUNDS:
+        following = [[], []]
+        for i in range(FOLDS):
+            gain = Gain(*[trained([w for j, fold in enumerate(kind) if j != i for w in fold], size) for kind in chosen])
+            for kind in (0, 1):
+                following[kind].append(_highest(gain, folds[kind][i], share))
+        if not all(any(kind) for kind in following):
+            break
+        chosen = following
+    return Gain(*[trained([w for fold in kind for w in fold], KEPT) for kind in chosen])
+
+
+def rising(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The nearest values that never fall (neighbours that do are pooled)."""
+    pools: list[list[float]] = []
+    for value, weight in zip(values, weights):
+        pools.append([value, weight, 1])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            last, before = pools.pop(), pools.pop()
+            weight = before[1] + last[1]
+            pools.append([(before[0] * before[1] + last[0] * last[1]) / weight, weight, before[2] + last[2]])
+    return np.concatenate([np.full(count, value) for value, _, count in pools])
+
+
+def best_stretch(worths: np.ndarray) -> float:
+    """The highest sum of neighbouring worths, each less the drift; 0 for none."""
+    if not len(worths):
+        return 0.0
+    sums = np.cumsum(worths - DRIFT)
+    before = np.minimum.accumulate(np.concatenate([[0.0], sums[:-1]]))
+    return float(min(max(0.0, (sums - before).max()), MOST_EVIDENCE))
+
+
+def _bent(evidence):
+    """Evidence as the curve sees it: the first windows say most."""
+    return evidence / (evidence + 2)
 
 
 class Distance:
-    """The two dictionaries and what their windows' gains are worth."""
+    """The two dictionaries, what gains are worth, and the curve from evidence to score."""
 
     def __init__(self, toxic: list[str], ordinary: list[str], toxic_share: float):
         self.share = toxic_share
         self.trained = bool(toxic and ordinary)
         if not self.trained:
             return
-        bad, good = [t.lower().encode() for t in toxic], [t.lower().encode() for t in ordinary]
-        half = good[:max(1, len(good) // 2)]
-        words = b" ".join([b"", *telling_words(bad, good), b""])
-        base = _trained([w for t in half for w in [t[i:i + WINDOW] for i in range(0, len(t), WINDOW)]], TRAINED)
-        filler = base[-KEPT - len(words):-KEPT] if len(base) > KEPT else b""
-        self.dictionaries = (words + base[-KEPT:], filler + base[-KEPT:])
-        self._open()
-        own, other = self._gain_counts(bad), self._gain_counts(good)
-        lift = np.log2((own / own.sum()) / (other / other.sum()))
-        self.worth = np.maximum.accumulate(lift)
-        rows = np.array([self._features(t) for t in [*bad, *good]])
+        own = [[windows(t) for t in texts] for texts in (toxic, ordinary)]
+        fresh = once([*own[0], *own[1]])
+        fresh = [fresh[:len(toxic)], fresh[len(toxic):]]
+
+        def parted(texts: list) -> tuple[list, list]:
+            """The texts that train and those that calibrate; too few do both."""
+            held = texts[CALIBRATES - 1::CALIBRATES]
+            return [t for n, t in enumerate(texts) if n % CALIBRATES != CALIBRATES - 1], held or texts
+
+        self.gain = dictionaries(*[parted(texts)[0] for texts in fresh])
+        counts = [
+            sum((np.bincount(self.gain.of(t) - LEAST_GAIN, minlength=MOST_GAIN - LEAST_GAIN + 1) for t in parted(texts)[1]),
+                np.full(MOST_GAIN - LEAST_GAIN + 1, 0.5))
+            for texts in fresh
+        ]
+        self.worth = rising(np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum()), counts[0] + counts[1])
+        bad, good = ([self.evidence(t) for t in parted(texts)[1]] for texts in own)
         label = np.array([1.0] * len(bad) + [0.0] * len(good))
         weight = np.where(label == 1, toxic_share / len(bad), (1 - toxic_share) / len(good)) * len(label)
-        self.middle, self.spread = rows.mean(axis=0), rows.std(axis=0) + 1e-9
-        self.curve = _logistic((rows - self.middle) / self.spread, label, weight)
+        self.curve = _logistic(_bent(np.array([*bad, *good]))[:, None], label, weight)
 
-    def _open(self) -> None:
-        def compressor(content: bytes) -> zstandard.ZstdCompressor:
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=LEVEL)
-            return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_dict_id=False)
-
-        self.toxic, self.ordinary = (compressor(c) for c in self.dictionaries)
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("toxic", "ordinary")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        if self.trained:
-            self._open()
-
-    def _gains(self, text: bytes) -> np.ndarray:
-        """Bytes that the toxic dictionary saves in two neighbouring windows, the better of every two such
-        sums, as places in the table of worths."""
-        toxic, ordinary = self.toxic.compress, self.ordinary.compress
-        saved = [max(-1, len(ordinary(w)) - len(toxic(w))) for w in windows(text)]
-        both = [a + b for a, b in zip(saved, [*saved[1:], 0])]
-        best = np.array(both + [LEAST_GAIN] * (len(both) % 2)).reshape(-1, 2).max(axis=1)
-        return np.clip(best, LEAST_GAIN, MOST_GAIN) - LEAST_GAIN
-
-    def _gain_counts(self, texts: list[bytes]) -> np.ndarray:
-        size = MOST_GAIN - LEAST_GAIN + 1
-        return sum((np.bincount(self._gains(t), minlength=size) for t in texts), np.full(size, 0.5))
-
-    def _features(self, text: bytes) -> tuple[float, float]:
-        gains = self._gains(text)
-        return float(np.clip(self.worth[gains].sum(), *EVIDENCE)), float(np.log2(len(gains)))
+    def evidence(self, own: list[bytes]) -> float:
+        return best_stretch(self.worth[self.gain.of(own) - LEAST_GAIN])
 
     def score(self, text: str | None) -> float:
         if not self.trained:
             return self.share
-        row = (np.array(self._features((text or "").lower().encode())) - self.middle) / self.spread
-        return float(1 / (1 + np.exp(-(self.curve[0] + row @ self.curve[1:]))))
+        return float(1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * _bent(self.evidence(windows(text)))))))
 
 
 def _logistic(rows: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:

@@ -388,17 +388,7 @@ def test_languages_of_odd_texts(spark, docs, nothing):
 # toxicity
 
 def test_toxic_texts_stand_out(spark, docs, nothing):
-    rnd = random.Random(8)
-    bad = ["blockhead", "nincompoop", "scoundrel"]
-
-    def text(words):
-        return " ".join(rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(words))
-
-    rows, labels = [], []
-    for i in range(600):
-        toxic = i % 5 == 0
-        rows.append((i, text(40) + (" " + " ".join(f"{rnd.choice(bad)} {text(6)}" for _ in range(4)) if toxic else "")))
-        labels.append((i, int(toxic)))
+    rows, labels = [(i, t) for i, t, _ in labelled_texts()], [(i, x) for i, _, x in labelled_texts()]
     known = spark.createDataFrame(rows, "doc_id long, text string")
     distance = compression.train(known.filter("doc_id < 400"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     scores = {r.doc_id: r.s for r in known.select("doc_id", compression.toxicity(F.col("text"), distance, spark).alias("s")).collect()}
@@ -410,14 +400,72 @@ def test_toxic_texts_stand_out(spark, docs, nothing):
         assert untaught.score("anything") == untaught.score(None) == 0
 
 
+def plain_score(distance, text):
+    """Every stretch of windows, every window compressed afresh."""
+    toxic, ordinary = distance.gain._toxic, distance.gain._ordinary
+    worths = []
+    for word in re.findall(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower().encode()):
+        for i in range(0, max(1, len(word) - 12), 12):
+            window = (b" " + word[i:i + 24]) * 3 + b" "
+            gain = len(ordinary.compress(window)) - len(toxic.compress(window))
+            worths.append(distance.worth[min(max(gain, -8), 14) + 8] - compression.DRIFT)
+    best = max([0.0, *(sum(worths[i:j]) for i in range(len(worths)) for j in range(i + 1, len(worths) + 1))])
+    best = min(best, compression.MOST_EVIDENCE)
+    return 1 / (1 + np.exp(-(distance.curve[0] + distance.curve[1] * best / (best + 2))))
+
+
+def labelled_texts(n=600, seed=8):
+    rnd = random.Random(seed)
+    bad = ["blockhead", "nincompoop", "scoundrel", "schurkenhaft"]
+
+    def text(words):
+        return " ".join(rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(words))
+
+    return [(i, text(40) + (" " + " ".join(f"{rnd.choice(bad)} {text(6)}" for _ in range(4)) if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(n)]
+
+
+def test_scores_equal_the_plain_form_and_do_not_follow_length():
+    rows = labelled_texts()
+    distance = compression.Distance([t for _, t, x in rows if x], [t for _, t, x in rows if not x], 0.2)
+    odd = [None, "", "123 !!", rows[0][1], rows[1][1], rows[0][1].upper(), "É" * 40 + " 中文中文中文中文中文中文中文中文", "nincompoop", rows[3][1] * 2]
+    assert [distance.score(t) for t in odd] == pytest.approx([plain_score(distance, t) for t in odd])
+    assert distance.score(rows[0][1]) == distance.score(rows[0][1].upper())
+    clean = " ".join(t for _, t, x in labelled_texts(900, seed=9) if not x)
+    clean = (clean * (100_000 // len(clean) + 1))[:100_000]
+    planted = clean[:50_000] + " nincompoop blockhead scoundrel " + clean[50_000:]
+    assert distance.score(clean) < 0.3 <= distance.score(planted)
+    # the two dictionaries were trained apart: each compresses its own kind of text better
+    toxic, ordinary = distance.gain.dictionaries
+    assert toxic != ordinary and (b"nincompoop" in toxic) and b"nincompoop" not in ordinary
+
+
+def test_passages_of_several_texts_train_once():
+    first, second = [b"a", b"b", b"c", b"d", b"e"], [b"x", b"a", b"b", b"c", b"d", b"y"]
+    assert compression.once([first, second, first]) == [first, [b"x", b"y"], []]
+
+
 def test_windows_cover_the_text():
-    for size in (0, 1, 63, 64, 65, 200, 1000):
-        data = bytes(i % 251 for i in range(size))
-        covered = set()
-        for n, window in enumerate(compression.windows(data)):
-            covered.update(range(n * compression.STEP, n * compression.STEP + len(window)))
-            assert data[n * compression.STEP:][:len(window)] == window
-        assert covered == set(range(size))
+    for size in (1, 23, 24, 25, 36, 37, 200):
+        word = "".join(chr(97 + i % 26) for i in range(size))
+        own = compression.windows(f"1 {word}, {word.upper()}")
+        assert len(own) % 2 == 0 and own[:len(own) // 2] == own[len(own) // 2:]
+        own = own[:len(own) // 2]
+        covered = own[0]
+        for window in own[1:]:
+            assert len(window) <= compression.WINDOW and covered[-len(window):][-12:] == window[:12]
+            covered += window[12:]
+        assert covered == word.encode()
+    assert compression.windows(None) == compression.windows("12 !? ") == []
+
+
+def test_worths_never_fall():
+    rnd = np.random.default_rng(1)
+    for _ in range(50):
+        values, weights = rnd.normal(size=12), rnd.integers(1, 9, 12).astype(float)
+        pooled = compression.rising(values, weights)
+        assert (np.diff(pooled) >= 0).all() and (pooled * weights).sum() == pytest.approx((values * weights).sum())
+        # no other rising row is nearer
+        assert ((pooled - values) ** 2 * weights).sum() <= ((np.maximum.accumulate(values) - values) ** 2 * weights).sum() + 1e-9
 
 
 # secrets
