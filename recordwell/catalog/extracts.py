@@ -17,10 +17,10 @@ def write_framed(lines: DataFrame, path: str, first: str, between: str, last: st
     def frame(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         begun = False
         for rows in frames:
-            for at in range(len(rows)):
-                rows.iloc[at, 0] = (between if begun else first) + rows.iloc[at, 0]
-                begun = True
-            yield rows
+            lines = [between + line for line in rows["value"]]
+            if lines and not begun:
+                lines[0], begun = first + lines[0][len(between):], True
+            yield pd.DataFrame({"value": lines})
         if begun and last:
             yield pd.DataFrame({"value": [last]})
 

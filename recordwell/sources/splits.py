@@ -19,6 +19,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,7 @@ from recordwell.session import broadcast_if_small, cut_lineage
 from recordwell.sources.readers import ORDER, empty, if_there, unique_names
 
 #: Characters of a chunk; a chunk ends at the next separator.
-CHUNK = 1 << 20
+CHUNK = 1 << 16
 
 #: What a scan may be in the middle of.
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
@@ -225,18 +226,22 @@ def records(spark: SparkSession, path: str, grammar: Grammar, chunk: int = CHUNK
     placed = chunks.drop("scans").join(
         broadcast_if_small(starts), (F.col("file") == F.col("_file")) & (F.col("place") == F.col("_place")) & (F.col("n") == F.col("_n")))
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series, states: pd.Series, depths: pd.Series) -> pd.Series:
-        return pd.Series([grammar.cut(*row) for row in zip(texts, states, depths)], dtype=object)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # one chunk at a time: what leaves Python is never larger than a chunk
+            for row in (batch.slice(n, 1).to_pylist()[0] for n in range(batch.num_rows)):
+                pieces = grammar.cut(row["text"], row["state"], row["depth"])
+                size, last = len(pieces), len(pieces) - 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["file"]] * size), pa.array([row["place"]] * size, pa.int64()), pa.array([row["n"]] * size, pa.int64()),
+                    pa.array([row["whole"]] * size), pa.array(range(row["record"], row["record"] + size), pa.int64()), pa.array(pieces, pa.string()),
+                    # the first and the last piece of a chunk may go on in others
+                    pa.array([n in (0, last) for n in range(size)]),
+                ], ["file", "place", "n", "whole", "record", "text", "open"])
 
-    cuts = placed.withColumn("_pieces", cut("text", "state", "depth"))
     # cut twice, once for whole records and once for borders: cheaper than storing all text again
-    pieces = cuts.select(
-        "file", "place", "n", "record", "whole", F.size("_pieces").alias("_size"), F.posexplode("_pieces").alias("_at", "text"),
-    ).select(
-        "file", "place", "n", "whole", (F.col("record") + F.col("_at")).alias("record"), "text",
-        # the first and the last piece of a chunk may go on in others
-        ((F.col("_at") == 0) | (F.col("_at") == F.col("_size") - 1)).alias("open"))
+    pieces = placed.select("file", "place", "n", "record", "whole", "text", "state", "depth").mapInArrow(
+        cut, "file string, place long, n long, whole boolean, record long, text string, open boolean")
     inner = pieces.filter(~F.col("open")).select(*schema.names)
     border = pieces.filter("open").groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("place", "n", "text"))).alias("_parts"), F.min("whole").alias("whole"))
