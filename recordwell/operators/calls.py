@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from recordwell.operators.inference import (
-    CONTACT_FIELDS, REPAIR_RETRIES, ZERO_FIELDS, Model, ask, attribute_prompt, checked_attributes, is_attributes, needs_search,
+    CAPACITY_BATCH, CONTACT_FIELDS, REPAIR_RETRIES, ZERO_FIELDS, Model, answered_capacities, ask, attribute_prompt, batches,
+    capacity_prompt, checked_attributes, is_attributes, is_capacities, needs_search,
 )
 from recordwell.session import cut_lineage
 from recordwell.sources.readers import empty, if_there
@@ -129,3 +130,13 @@ def search_cached(rows: DataFrame, store: RunTable, log: CallLog, model: Model |
         known = known.unionByName(fresh)
     answered = known.select(F.col("ask").alias("_ask"), *fields)
     return keyed.select(id_col, "ask").join(answered, F.col("ask") == F.col("_ask")).select(id_col, *fields)
+
+
+def capacity_logged(rows: DataFrame, log: CallLog, model: Model | None, id_col: str = "id", size: int = CAPACITY_BATCH, **run) -> DataFrame:
+    """Estimates by facility id as ``capacity_estimates`` gives them, through ``log``: what an earlier run was told is not asked again."""
+    batched = cut_lineage(batches(rows.select(id_col, "name", "type"), [id_col, "name", "type"], id_col, size))
+    prompts = batched.select("batch_id", capacity_prompt(F.col("records")).alias("prompt"))
+    if model is not None:
+        log.run(prompts, model, check=is_capacities, **run)
+    digests = prompts.select("batch_id", F.sha2(F.col("prompt").cast("binary"), 256).alias("digest"))
+    return answered_capacities(log.replies().join(digests, ["batch_id", "digest"], "left_semi"), batched, id_col)

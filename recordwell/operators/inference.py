@@ -29,6 +29,9 @@ REPAIR_BATCH = 20
 CAPACITY_BATCH = 10
 REPAIR_RETRIES = 3
 
+#: The error of a call whose replies did not pass their check.
+INVALID = "invalid reply"
+
 # The regions a repair may name.
 REGIONS = (
     "Tanger-Tétouan-Al Hoceïma", "Oriental", "Fès-Meknès", "Rabat-Salé-Kénitra",
@@ -105,9 +108,8 @@ def is_capacities(reply: str) -> bool:
 
 
 def is_attributes(reply: str) -> bool:
-    """A JSON object that has one of the attributes at least."""
-    found = _json(reply)
-    return isinstance(found, dict) and bool(found.keys() & {*CONTACT_FIELDS, *ZERO_FIELDS})
+    """A JSON object; one without any attribute says that nothing was found."""
+    return isinstance(_json(reply), dict)
 
 
 def ask(model: Model, prompt: str, retries: int, check: Callable[[str], bool] | None) -> tuple[str | None, str | None, int]:
@@ -118,7 +120,7 @@ def ask(model: Model, prompt: str, retries: int, check: Callable[[str], bool] |
             reply = model(prompt)
             if check is None or check(reply):
                 return reply, None, n
-            error = "invalid reply"
+            error = INVALID
         except Exception as problem:  # the model is foreign code; its failure is data
             error = f"{type(problem).__name__}: {problem}"
     return None, error, n
@@ -230,7 +232,8 @@ def search_attributes(rows: DataFrame, cache: DataFrame | None, model: Model | N
         "call_id", attribute_prompt(F.col("_ask.name"), F.col("_ask.city"), F.col("_missing")).alias("prompt")
     )
     replies = cut_lineage(run_model(prompts, model, key="call_id", parallel=parallel, check=is_attributes))
-    answered = questions.join(replies, "call_id").filter(F.col("reply").isNotNull()).select(
+    # what got garbage only, however often it was asked, is answered with nothing
+    answered = questions.join(replies, "call_id").filter(F.col("reply").isNotNull() | (F.col("error") == INVALID)).select(
         F.col("_ask").alias("_answered"), checked_attributes(F.col("reply")).alias("_found")
     )
     found = asked.join(answered, F.col("_ask") == F.col("_answered")).select(
@@ -246,8 +249,12 @@ def capacity_estimates(rows: DataFrame, model: Model, id_col: str = "id", size:
     batched = cut_lineage(batches(asked, [id_col, "name", "type"], id_col, size))
     prompts = batched.select("batch_id", capacity_prompt(F.col("records")).alias("prompt"))
     replies = cut_lineage(run_model(prompts, model, parallel=parallel, check=is_capacities))
+    return answered_capacities(replies, batched, id_col)
+
+
+def answered_capacities(replies: DataFrame, batched: DataFrame, id_col: str = "id") -> DataFrame:
+    """Estimates by facility id from (batch_id, reply); an answer counts only in the batch that asked for its id."""
     items = replies.select("batch_id", F.posexplode(parse_capacity("reply")).alias("position", "h"))
-    # an answer counts only in the batch that asked for its id
     owners = batched.select(F.col("batch_id").alias("_batch"), F.explode(F.col("records")[id_col]).alias("_asked"))
     own = items.join(owners, (F.col("batch_id") == F.col("_batch")) & (F.col("h.id") == F.col("_asked")), "left_semi")
     return own.groupBy(F.col("h.id").alias(id_col)).agg(

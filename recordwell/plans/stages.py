@@ -20,6 +20,7 @@ from recordwell.operators.columns import (
     clean_columns, ensure_columns, fill_defaults, map_text_columns, rename_synonyms, resolve_column,
     select_allowed, with_constants,
 )
+from recordwell.operators.calls import ATTRIBUTES, CallLog, cache_key, capacity_logged, search_cached
 from recordwell.operators.contain import link_by_containment
 from recordwell.operators.fill import fill_missing, gap_fill, lookup_key
 from recordwell.operators.inference import Model, capacity_estimates, search_attributes
@@ -27,12 +28,14 @@ from recordwell.operators.keys import dense_id, keep_best, union_aligned
 from recordwell.operators.sampling import hash_between, sample_links
 from recordwell.operators.similar import fuzzy_dedup
 from recordwell.session import cut_lineage
-from recordwell.sources import readers, writers
+from recordwell.sources import readers, splits, writers
 from recordwell.sources.readers import ORDER
+from recordwell.sources.runs import RunTable
 from recordwell.sources.schemas import (
     CONSTRAINTS, DEVICE_NAME_WORDS, DEVICE_NOISE, FOREIGN_KEYS, HOSPITAL_HEADERS, MEDICATION_HEADERS,
     PRIMARY_KEYS, TABLES,
 )
+from recordwell.sources.snapshot import Snapshots
 
 HOSPITAL_COLUMNS = ("name", "city", "province", "region", "type", "beds", "phone", "email", "website",
                     "latitude", "longitude", "address", "source")
@@ -56,7 +59,7 @@ EQUIPMENT_QUANTITY = (1, 5)
 
 def load_public_hospitals(spark: SparkSession, path: str) -> DataFrame:
     """The official list: preamble skipped, headers mapped, texts cleaned, empty rows dropped."""
-    df = readers.read_csv_with_preamble(spark, path, with_order=True)
+    df = splits.read_csv_splits(spark, path, ("Région", "Region"), with_order=True)
     df = clean_columns(rename_synonyms(df, HOSPITAL_HEADERS), ["region", "province", "city", "name", "type"])
     return with_constants(df.na.drop("all", subset=[c for c in df.columns if c != ORDER]), {"source": "gov"})
 
@@ -71,7 +74,7 @@ def load_map_hospitals(spark: SparkSession, path: str) -> DataFrame:
 def load_medications(spark: SparkSession, path: str) -> DataFrame:
     """The medication list: items without a name dropped, one row per name, first wins."""
     fields = ["nom", *MEDICATION_HEADERS]
-    df = readers.read_json_objects(spark, path, fields, with_order=True)
+    df = splits.read_json_array(spark, path, fields, with_order=True)
     name = first_nonblank("SPECIALITE", "nom")
     df = map_text_columns(df.filter(~is_null_token(name)))
     df = df.withColumn("SPECIALITE", F.coalesce(F.col("SPECIALITE"), F.col("nom"))).drop("nom")
@@ -80,12 +83,12 @@ def load_medications(spark: SparkSession, path: str) -> DataFrame:
 
 def load_suppliers(spark: SparkSession, devices: str, wholesalers: str) -> DataFrame:
     """Device makers before wholesalers, one row per name, first wins."""
-    makers = readers.read_json_objects(spark, devices, ["NOM", "ACTIVITE", "ADRESSE"], with_order=True)
+    makers = splits.read_json_array(spark, devices, ["NOM", "ACTIVITE", "ADRESSE"], with_order=True)
     makers = makers.select(
         clean_text("NOM").alias("name"), F.lit(DEVICE_CATEGORY).alias("category"),
         clean_text("ACTIVITE").alias("activity"), clean_text("ADRESSE").alias("address"), ORDER,
     )
-    sellers = readers.read_json_objects(
+    sellers = splits.read_json_array(
         spark, wholesalers, ["NOM", "ADRESSE", "VILLE", "TEL", "NOM PHARMACIEN RESPONSABLE"], with_order=True)
     sellers = sellers.select(
         clean_text("NOM").alias("name"), F.lit(WHOLESALE_CATEGORY).alias("category"),
@@ -236,22 +239,38 @@ def normalise(spark: SparkSession, source: str, out: str, threshold: int | None
 
 # ---------------------------------------------------------------- enrich
 
-def enrich_hospitals(hospitals: DataFrame, services: DataFrame, equipment: DataFrame,
+def enrich_hospitals(hospitals: DataFrame, services: DataFrame | None, equipment: DataFrame | None,
                      medications: DataFrame | None = None, cache: DataFrame | None = None,
                      search_model: Model | None = None, capacity_model: Model | None = None,
-                     seed: str = "links") -> dict[str, DataFrame]:
-    """Found attributes, bed counts and link tables for every hospital.
+                     seed: str = "links", state: str | None = None) -> dict[str, DataFrame]:
+    """Found attributes, bed counts and link tables for every hospital; a dimension that is None has no links.
+
+    ``state`` names a folder for the calls and their answers: attribute searches are then looked up and written back there, and
+    a run that died goes on where it stopped (``operators.calls``).
 
     Counts come from the capacity model where it answers for the id, else from the
     hospital's size class; every draw is a hash of the ids, so a rerun gives the same
     links.
     """
+    spark = hospitals.sparkSession
     df = hospitals.withColumn("beds", F.col("beds").try_cast("double").try_cast("int"))
-    if cache is not None or search_model is not None:
+    fields = ["address", "phone", "email", "website", "beds"]
+    if state is not None:
+        store = RunTable(spark, f"{state}/attributes", ATTRIBUTES, "ask")
+        if cache is not None:
+            store.append(cache.select(
+                cache_key(F.col("name"), F.col("city")).alias("ask"), *fields[:4], F.col("beds").cast("int").alias("beds"),
+                F.lit("cache").alias("source_quality")))
+        found = cut_lineage(search_cached(df, store, CallLog(spark, f"{state}/searches"), search_model))
+        store.compact_tiers()
+        df = fill_missing(df, found, "id", fields)
+    elif cache is not None or search_model is not None:
         found = cut_lineage(search_attributes(df, cache, search_model))
-        df = fill_missing(df, found, "id", ["address", "phone", "email", "website", "beds"])
+        df = fill_missing(df, found, "id", fields)
     counts = df.select("id", facility_tier("type").alias("tier"))
-    if capacity_model is not None:
+    if state is not None:
+        counts = counts.join(capacity_logged(df, CallLog(spark, f"{state}/capacities"), capacity_model), "id", "left")
+    elif capacity_model is not None:
         counts = counts.join(capacity_estimates(df, capacity_model), "id", "left")
     else:
         counts = ensure_columns(counts, {"service_count": "int", "equipment_count": "int", "beds": "int"})
@@ -266,14 +285,14 @@ def enrich_hospitals(hospitals: DataFrame, services: DataFrame, equipment: DataF
         F.coalesce("equipment_count", drawn("equipment")).alias("equipment"),
         F.coalesce("beds", drawn("beds")).alias("beds"),
     ))
-    out = {
-        "hospitals": fill_missing(df, counts, "id", ["beds"]),
-        "hospital_services": sample_links(
-            counts, "id", F.col("services"), services, "id", seed + "-services", None, ("hospital_id", "service_id")),
-        "hospital_equipment": sample_links(
+    out = {"hospitals": fill_missing(df, counts, "id", ["beds"])}
+    if services is not None:
+        out["hospital_services"] = sample_links(
+            counts, "id", F.col("services"), services, "id", seed + "-services", None, ("hospital_id", "service_id"))
+    if equipment is not None:
+        out["hospital_equipment"] = sample_links(
             counts, "id", F.col("equipment"), equipment, "id", seed + "-equipment",
-            ("quantity", *EQUIPMENT_QUANTITY), ("hospital_id", "equipment_id")),
-    }
+            ("quantity", *EQUIPMENT_QUANTITY), ("hospital_id", "equipment_id"))
     if medications is not None:
         kinds = hash_between(*STOCK_KINDS, F.lit(seed), F.lit("stock"), F.col("id"))
         out["hospital_medications"] = sample_links(
@@ -282,16 +301,17 @@ def enrich_hospitals(hospitals: DataFrame, services: DataFrame, equipment: DataF
     return out
 
 
-def enrich(spark: SparkSession, source: str, out: str, **models) -> list[str]:
-    """Enrich the normalised datasets and carry the others forward."""
+def enrich(spark: SparkSession, source: str, out: str, **options) -> list[str]:
+    """Enrich the normalised datasets and carry the others forward; extracts that are not there are left out."""
     done = writers.carry_forward(
         spark, source, out, ["places", "services", "equipment", "medications", "suppliers", "supplier_medications"])
 
-    def get(name: str) -> DataFrame:
-        return spark.read.parquet(f"{source}/{name}")
+    def get(name: str) -> DataFrame | None:
+        return readers.if_there(lambda: spark.read.parquet(f"{source}/{name}"))
 
-    medications = get("medications") if "medications" in done else None
-    tables = enrich_hospitals(get("hospitals"), get("services"), get("equipment"), medications, **models)
+    if (hospitals := get("hospitals")) is None:
+        return done
+    tables = enrich_hospitals(hospitals, get("services"), get("equipment"), get("medications"), **options)
     for name, df in tables.items():
         writers.write_stage(df, out, name)
         done.append(name)
@@ -300,17 +320,29 @@ def enrich(spark: SparkSession, source: str, out: str, **models) -> list[str]:
 
 # ---------------------------------------------------------------- publish
 
-def publish(spark: SparkSession, source: str, database: str) -> dict[str, DataFrame]:
-    """Create the typed tables, refresh them parents first, and return the checks."""
-    writers.create_tables(spark, database)
-
+def enriched_tables(spark: SparkSession, source: str) -> dict[str, DataFrame]:
+    """The enriched datasets that are there, as they are published."""
     def prices(df: DataFrame) -> DataFrame:
         """Prices still written as text get a decimal point; what is no number stays for the checks to see."""
         texts = [c for c in ("price_public", "price_hospital") if c in df.columns and df.schema[c].dataType.simpleString() == "string"]
         return df.withColumns({c: decimal_point(nullify(F.trim(c))) for c in texts})
 
     found = {t: readers.if_there(lambda t=t: spark.read.parquet(f"{source}/{t}")) for t in TABLES}
-    given = {t: df if t != "medications" else prices(df) for t, df in found.items() if df is not None}
+    return {t: df if t != "medications" else prices(df) for t, df in found.items() if df is not None}
+
+
+def publish_snapshot(spark: SparkSession, source: str, path: str) -> dict[str, DataFrame]:
+    """Refresh all tables as one version under ``path`` (tables without a dataset are empty) and return the checks of that version."""
+    given = enriched_tables(spark, source)
+    store = Snapshots(spark, path)
+    version = store.refresh({t: given[t] if t in given else readers.empty(spark, schema) for t, schema in TABLES.items()})
+    return verify(store.tables(version), given)
+
+
+def publish(spark: SparkSession, source: str, database: str) -> dict[str, DataFrame]:
+    """Create the typed tables, refresh them parents first, and return the checks."""
+    writers.create_tables(spark, database)
+    given = enriched_tables(spark, source)
     writers.load_tables(given, database)
     return verify({t: spark.table(f"{database}.{t}") for t in TABLES}, given)
 
@@ -342,13 +374,19 @@ def main() -> None:
     parser.add_argument("--raw", required=True, help="folder of the raw extracts")
     parser.add_argument("--work", required=True, help="folder for the stage datasets")
     parser.add_argument("--database", default="master_data")
+    parser.add_argument("--state", help="folder of model calls and their answers; attributes found before are used")
+    parser.add_argument("--snapshot", help="publish all tables as one version in this folder instead of the database")
     parser.add_argument("--exact-names", action="store_true", help="treat only equal names as duplicates")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("recordwell").getOrCreate()
     load(spark, args.raw, f"{args.work}/raw")
     normalise(spark, f"{args.work}/raw", f"{args.work}/processed", None if args.exact_names else 85)
-    enrich(spark, f"{args.work}/processed", f"{args.work}/enriched")
-    publish(spark, f"{args.work}/enriched", args.database)["counts"].show(truncate=False)
+    enrich(spark, f"{args.work}/processed", f"{args.work}/enriched", state=args.state)
+    if args.snapshot:
+        found = publish_snapshot(spark, f"{args.work}/enriched", args.snapshot)
+    else:
+        found = publish(spark, f"{args.work}/enriched", args.database)
+    found["counts"].show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -112,3 +112,36 @@ def test_values_that_do_not_fit_are_reported(spark):
     from recordwell.sources.writers import conform
     report = verify({"medications": conform(given["medications"], "medications")}, given)["medications: columns"]
     assert sorted(r.id for r in report.collect()) == [1, 2]
+
+
+def test_enrichment_goes_on_without_dimensions_and_resumes(spark, done, tmp_path, rows):
+    calls = tmp_path / "calls"
+
+    def search(prompt):
+        with open(calls, "a") as file:
+            file.write("search\n")
+        return json.dumps({"address": "rue 9", "website": "www.x.ma"})
+
+    def capacity(prompt):
+        with open(calls, "a") as file:
+            file.write("capacity\n")
+        return json.dumps({"hospitals": [{"id": 1, "service_count": 2, "equipment_count": 2, "beds": 77}]})
+
+    read(spark, done, "processed", "hospitals").write.parquet(str(tmp_path / "in/hospitals"))
+    options = {"search_model": search, "capacity_model": capacity, "state": str(tmp_path / "state")}
+    assert stages.enrich(spark, str(tmp_path / "in"), str(tmp_path / "out"), **options) == ["hospitals"]
+    first = rows(spark.read.parquet(str(tmp_path / "out/hospitals")), "id", "address", "website", "beds")
+    made = calls.read_text().split()
+    assert first[0][1:] == ("rue 9", "https://www.x.ma", 77) and made.count("search") == 6 and made.count("capacity") == 1
+    stages.enrich(spark, str(tmp_path / "in"), str(tmp_path / "out"), **options)
+    assert calls.read_text().split() == made and rows(spark.read.parquet(str(tmp_path / "out/hospitals")), "id", "address", "website", "beds") == first
+    # without models what was found before is used
+    stages.enrich(spark, str(tmp_path / "in"), str(tmp_path / "out"), state=str(tmp_path / "state"))
+    assert rows(spark.read.parquet(str(tmp_path / "out/hospitals")), "id", "address", "website", "beds") == first
+    assert stages.enrich(spark, str(tmp_path / "nowhere"), str(tmp_path / "out")) == []
+
+
+def test_all_tables_are_published_as_one_version(spark, done, tmp_path):
+    checks = stages.publish_snapshot(spark, f"{done[0]}/enriched", str(tmp_path / "versions"))
+    counts = {r.table_name: r.rows for r in checks["counts"].collect()}
+    assert len(counts) == 11 and counts["hospitals"] == 6 and counts["supplier_equipment"] == 0
