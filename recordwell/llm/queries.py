@@ -86,17 +86,22 @@ def op6_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op6_boilerplate"] = """
-WITH own AS (
-  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
-  FROM documents
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('s' || source, '') AS site, text FROM documents
+), own AS (
+  SELECT row, site, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM docs WHERE text <> ''
 ), trimmed AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM own
 ), spread AS (
-  SELECT bare FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+  SELECT bare FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT site) >= 10
+), cleaned AS (
+  SELECT row, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE bare NOT IN (SELECT bare FROM spread)), '') AS text,
+         count(*) AS n_lines, count(*) FILTER (WHERE bare IN (SELECT bare FROM spread)) AS n_removed
+  FROM trimmed GROUP BY row
 )
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE bare NOT IN (SELECT bare FROM spread)), '') AS text,
-       CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE bare IN (SELECT bare FROM spread)) AS INTEGER) AS n_removed
-FROM trimmed GROUP BY doc_id
+SELECT doc_id, coalesce(c.text, d.text) AS text, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed
+FROM docs d LEFT JOIN cleaned c USING (row)
 """
 
 

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
@@ -13,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from recordwell.llm import bloom, common, compression, lines, pieces, ppm, resampling, sharding, simhash, tiling, trigrams
+from recordwell.llm import queries
 from recordwell.llm.queries import PIECES_PATH
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -385,6 +387,19 @@ def test_languages_of_odd_texts(spark, docs, nothing):
     assert {r.f.lang for r in docs.select(ppm.languages(F.col("text"), untaught, spark).alias("f")).collect()} == {"und"}
 
 
+def test_the_statement_of_lines_says_the_same_on_odd_rows(spark, tmp_path):
+    shared = "a line that stands on many sites"
+    rows = [(i, f"own {i}\n {shared}\t\n\n", "en", None if i == 3 else f"s{i}", 1) for i in range(12)]
+    rows += [(20, None, "en", "a", 1), (21, "", "en", "a", 1), (22, shared, "en", "a", 1), (5, shared, "en", "b", 1), (5, shared, "en", "b", 1), (None, "x", None, None, None)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    mine = queries.op6_boilerplate(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = con.execute(queries.ORACLES["op6_boilerplate"])
+    names = [d[0] for d in found.description]
+    assert sorted((tuple(r) for r in mine.select(*names).collect()), key=repr) == sorted(found.fetchall(), key=repr)
+
+
 # toxicity
 
 def test_toxic_texts_stand_out(spark, docs, nothing):
