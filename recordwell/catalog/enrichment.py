@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordwell.catalog.registry import HOSPITALS, PLACES, query, table
+from recordwell.catalog.tables import scratch
 from recordwell.functions import messages
 from recordwell.operators import inference
 from recordwell.operators.checks import change_statistics, dirty_count
@@ -12,6 +13,7 @@ from recordwell.operators.fill import apply_actions, fill_missing, split_by_cach
 from recordwell.operators.keys import minus_ids
 from recordwell.operators.sampling import hash_between, sample_links
 from recordwell.plans.stages import enrich_hospitals
+from recordwell.streaming import repair
 
 _MISSING = (
     "list_filter([CASE WHEN address IS NULL OR address = '' THEN 'address' END, CASE WHEN phone IS NULL OR phone = '' THEN 'phone' END, "
@@ -131,6 +133,44 @@ def _(spark, folder):
     return inference.repair_once(PLACES.frame(spark, folder), offline_model())
 
 
+def unsteady_model():
+    """A model whose first reply to some groups is garbage, and that names some rows late or never."""
+    import json
+
+    def answer(prompt: str) -> str:
+        head, rows = prompt.split("ROWS:\n", 1)
+        asked = int(head.split(" earlier replies")[0].rsplit("\n", 1)[1]) if " earlier replies" in head else 0
+        rows = json.loads(rows)
+        if asked == 0 and rows[0]["id"] // 20 % 3 == 0:
+            return "I cannot help with that [" + str(rows[0]["id"])
+        named = [r for r in rows if r["id"] % 11 > 0 and (r["id"] % 7 > 0 or asked == 2)]
+        return json.dumps([{
+            "id": r["id"], "city": r["city"].upper(), "region": "Region " + r["city"][:1].upper(), "province": None,
+            "action": "DELETE" if r["id"] % 13 == 0 else "UPDATE"} for r in named])
+
+    return answer
+
+
+@query("repair_stream", "WITH p AS (SELECT doc_id AS id, source || ' ' || CAST(doc_id AS VARCHAR) AS city, CASE WHEN doc_id % 3 = 0 THEN lang END AS region, 'P' AS province FROM documents), "
+       "s AS (SELECT *, CASE WHEN id % 11 = 0 THEN 'GIVEN_UP' WHEN id % 13 = 0 THEN 'DELETED' ELSE 'REPAIRED' END AS status, "
+       "CASE WHEN id % 11 = 0 OR id % 7 = 0 THEN 3 WHEN id // 20 % 3 = 0 THEN 2 ELSE 1 END AS attempts FROM p WHERE region IS NULL) "
+       "SELECT id, CASE WHEN status = 'REPAIRED' THEN upper(city) ELSE city END AS city, CASE WHEN status = 'REPAIRED' THEN 'Region ' || upper(left(city, 1)) END AS region, "
+       "CASE WHEN status = 'REPAIRED' THEN NULL ELSE province END AS province, status, attempts FROM s WHERE status <> 'DELETED' "
+       "UNION ALL SELECT id, city, region, province, NULL, NULL FROM p WHERE region IS NOT NULL")
+def _(spark, folder):
+    """Files of places pass a stream that asks up to three times; rows it deleted are gone, rows it gave up stay as they were."""
+    rows = table(spark, folder, "documents").selectExpr(
+        "doc_id AS id", "source || ' ' || CAST(doc_id AS STRING) AS city", "CASE WHEN doc_id % 3 = 0 THEN lang END AS region", "'P' AS province")
+    path = scratch(spark, "repairs")
+    rows.write.parquet(f"{path}/rows")
+    stream = repair.repair_stream(spark, f"{path}/rows", rows.schema, f"{path}/settled", f"{path}/state", unsteady_model())
+    repair.drain(stream)
+    settled = repair.outcomes(spark, f"{path}/settled")
+    whole = repair.repaired(spark.read.schema(rows.schema).parquet(f"{path}/rows"), settled)
+    ends = settled.select(F.col("id").alias("_id"), "status", "attempts")
+    return whole.join(ends, F.col("id") == F.col("_id"), "left").drop("_id")
+
+
 _ACTIONS = ("SELECT l_orderkey AS id, l_linenumber AS position, 'C' || CAST(l_partkey AS VARCHAR) AS city, "
             "CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE 'R' || l_returnflag END AS region, 'P' AS province, "
             "CASE WHEN l_partkey % 11 = 0 THEN 'DELETE' WHEN l_partkey % 11 = 1 THEN 'KEEP' ELSE 'UPDATE' END AS action FROM lineitem")
