@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from recordwell.catalog.registry import query, table
 from recordwell.catalog.tables import scratch
-from recordwell.sources import splits
+from recordwell.sources import readers, splits
 
 
 def write_framed(lines: DataFrame, path: str, first: str, between: str, last: str) -> None:
@@ -53,3 +55,28 @@ def _(spark, folder):
     path = scratch(spark, "quoted")
     write_framed(lines, path, "﻿Liste officielle\n\n;source,x\n Région ,texte,note\n", "", "")
     return splits.read_csv_splits(spark, path, header_words=("Région", "Region"))
+
+
+@query("optional_sources", "SELECT doc_id AS id, source, lang, NULL AS note, 'dirty' AS kind FROM documents WHERE doc_id % 4 = 0 AND doc_id % 6 > 0 "
+       "UNION ALL SELECT doc_id, source, NULL, 'cached ' || lang, 'cached' FROM documents WHERE doc_id % 10 < 3 AND source IN (SELECT source FROM documents WHERE doc_id % 6 > 0)")
+def _(spark, folder):
+    """Rows without a region, and cached answers whose source is a known one; files that do not exist and a broken cache give nothing."""
+    docs = table(spark, folder, "documents").selectExpr("doc_id AS id", "source", "lang", "doc_id % 4 > 0 AS whole")
+    path = scratch(spark, "cache")
+    entry = F.to_json(F.map_from_arrays(F.array(F.col("id").cast("string")), F.array(F.struct(
+        "source", F.concat(F.lit("cached "), F.col("lang")).alias("note")))))
+    lines = docs.filter("id % 10 < 3").select(entry.alias("value")).select(F.expr("substr(value, 2, length(value) - 2)"))
+    write_framed(lines, f"{path}/good", "{", ",", "}")
+    known = readers.valid_ids(docs.filter("id % 6 > 0"), "source").withColumnRenamed("source", "_source")
+    value = StructType([StructField("source", StringType()), StructField("note", StringType())])
+    spark.createDataFrame([('{"1": {"source": ',)], "value string").write.text(f"{path}/broken")
+    cached = reduce(DataFrame.unionByName, [
+        readers.read_cache_json(spark, f"{path}/{name}", value, "id") for name in ("good", "broken", "absent")])
+    cached = cached.join(known, F.col("source") == F.col("_source"), "left_semi")
+    absent = readers.read_csv(spark, f"{path}/absent.csv", columns=["id", "source", "lang", "note", "kind"])
+    dirty = readers.read_dirty(docs.filter("id % 6 > 0").withColumn("region", F.when(F.col("whole"), "r")), columns=("id", "source", "lang"))
+    return reduce(DataFrame.unionByName, [
+        dirty.select("id", "source", "lang", F.lit(None).cast("string").alias("note"), F.lit("dirty").alias("kind")),
+        cached.select(F.col("id").cast("long").alias("id"), "source", F.lit(None).cast("string").alias("lang"), "note", F.lit("cached").alias("kind")),
+        absent.select(F.col("id").cast("long").alias("id"), "source", "lang", "note", "kind"),
+    ])

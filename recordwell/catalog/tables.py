@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from recordwell.catalog.registry import HOSPITALS, MEDICATIONS, query, table
 from recordwell.functions.text import clean_text
 from recordwell.operators import checks
-from recordwell.session import ensure_checkpoint_dir
+from recordwell.session import cut_lineage, ensure_checkpoint_dir
 from recordwell.sources import readers, writers
 from recordwell.sources.ledger import Ledger
 from recordwell.sources.schemas import Constraints
@@ -117,3 +120,65 @@ def _(spark, folder):
         pathGlobFilter="events.parquet")
     stream.awaitTermination()
     return spark.read.schema("event_id BIGINT, event_type STRING").parquet(f"{out}/rows").select("event_id", "event_type")
+
+
+_STATES = ("b AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 > 0 THEN lang END AS lang, source, CASE WHEN doc_id % 6 > 0 THEN n_chars END AS n_chars FROM documents), "
+           "a AS (SELECT id, CASE WHEN id % 5 > 0 THEN coalesce(lang, 'xx') ELSE lang END AS lang, source, coalesce(n_chars, 0) AS n_chars FROM b WHERE id % 9 > 0)")
+
+
+@query("observed_changes", f"WITH {_STATES}, s AS (SELECT count(*) AS rows_before, count(*) FILTER (a.id IS NULL) AS rows_deleted, "
+       "count(*) FILTER (a.id IS NOT NULL AND (a.lang IS DISTINCT FROM b.lang OR a.n_chars IS DISTINCT FROM b.n_chars)) AS rows_updated, "
+       "count(*) FILTER (a.lang IS NOT NULL AND b.lang IS NULL) AS lang_found, 0::BIGINT AS source_found, "
+       "count(*) FILTER (a.n_chars IS NOT NULL AND b.n_chars IS NULL) AS n_chars_found FROM b LEFT JOIN a ON a.id = b.id) "
+       "SELECT a.*, s.* FROM a, s")
+def _(spark, folder):
+    """The rows of the later state next to what their write has counted."""
+    before = table(spark, folder, "documents").selectExpr(
+        "doc_id AS id", "CASE WHEN doc_id % 4 > 0 THEN lang END AS lang", "source", "CASE WHEN doc_id % 6 > 0 THEN n_chars END AS n_chars")
+    after = before.filter("id % 9 > 0").selectExpr(
+        "id", "CASE WHEN id % 5 > 0 THEN coalesce(lang, 'xx') ELSE lang END AS lang", "source", "coalesce(n_chars, 0) AS n_chars")
+    path = scratch(spark, "changes")
+    counts = checks.write_changes(before, after, "id", ["lang", "source", "n_chars"], path)
+    return spark.read.schema(after.schema).parquet(path).withColumns({name: F.lit(n).cast("long") for name, n in counts.items()})
+
+
+@query("save_modes", "SELECT doc_id AS id, 'appended' AS how, NULL::INT AS beds, lang FROM documents "
+       "UNION ALL SELECT doc_id, 'replaced', NULL, lang FROM documents WHERE doc_id % 3 > 0 "
+       "UNION ALL SELECT doc_id, 'promoted', CASE WHEN doc_id % 2 = 0 THEN CAST(n_chars % 300 AS INT) END, NULL FROM documents WHERE doc_id % 5 > 0 "
+       "UNION ALL SELECT doc_id, 'defaults', 0, NULL FROM documents WHERE doc_id % 5 = 0 "
+       "UNION ALL SELECT doc_id, 'carried', NULL, lang FROM documents WHERE doc_id % 7 = 0")
+def _(spark, folder):
+    """Tables that are appended to, replaced, promoted into and carried forward; a second ``fail`` writes nothing.
+
+    NaN is published as null, a column the rows lack takes its default.
+    """
+    docs = table(spark, folder, "documents").selectExpr("doc_id AS id", "lang", "n_chars")
+    rows = docs.select("id", "lang")
+    database = f"save_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for part in range(2):
+        writers.save_table(rows.filter(F.col("id") % 2 == part), f"{database}.appended", "append")
+    writers.save_table(rows, f"{database}.replaced", "fail")
+    try:
+        writers.save_table(rows.limit(0), f"{database}.replaced", "fail")
+    except AnalysisException:
+        writers.save_table(rows.filter("id % 3 > 0"), f"{database}.replaced", "replace")
+    beds = F.when(F.col("id") % 2 == 0, (F.col("n_chars") % 300).cast("double")).otherwise(F.lit(float("nan")))
+    target = StructType([StructField("id", LongType()), StructField("beds", IntegerType())])
+    writers.create_tables(spark, database, {"promoted": target})
+    for given in (docs.filter("id % 5 > 0").select("id", beds.alias("beds")), docs.filter("id % 5 = 0").select("id")):
+        writers.promote(writers.conform(given, "hospitals", target), f"{database}.promoted")
+    stages = scratch(spark, "stages")
+    writers.write_stage(rows.filter("id % 7 = 0"), f"{stages}/one", "carried")
+    writers.carry_forward(spark, f"{stages}/one", f"{stages}/two", ["carried", "absent"])
+
+    promoted = spark.table(f"{database}.promoted")
+    parts = [
+        spark.table(f"{database}.appended").select("id", F.lit("appended").alias("how"), F.lit(None).cast("int").alias("beds"), "lang"),
+        spark.table(f"{database}.replaced").select("id", F.lit("replaced").alias("how"), F.lit(None).cast("int").alias("beds"), "lang"),
+        promoted.select("id", F.when(F.col("id") % 5 > 0, "promoted").otherwise("defaults").alias("how"), "beds", F.lit(None).cast("string").alias("lang")),
+        spark.read.schema(rows.schema).parquet(f"{stages}/two/carried").select("id", F.lit("carried").alias("how"), F.lit(None).cast("int").alias("beds"), "lang"),
+    ]
+    whole = cut_lineage(reduce(DataFrame.unionByName, parts))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return whole

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from recordwell.functions.text import email_invalid, fold
 from recordwell.sources.schemas import Constraints
@@ -130,17 +130,21 @@ def constraint_violations(df: DataFrame, rules: Constraints, id_col: str) -> Dat
     return df.select(id_col, F.explode(F.array_compact(F.array(*tests))).alias("rule"))
 
 
-def change_statistics(before: DataFrame, after: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
-    """Rows found, deleted, updated and filled per field between two states, in one aggregate."""
+def _paired(before: DataFrame, after: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
+    """Rows of ``before`` next to the row of ``after`` with their id, if there is one."""
     old = before.select(F.col(id_col), *[F.col(f).alias(f"_old_{f}") for f in fields])
     new = after.select(F.col(id_col).alias("_new_id"), *[F.col(f).alias(f"_new_{f}") for f in fields])
-    both = old.join(new, old[id_col] == new["_new_id"], "left")
+    return old.join(new, old[id_col] == new["_new_id"], "left")
+
+
+def _change_counts(fields: Sequence[str]) -> list[Column]:
+    """Counts over paired rows: found, deleted, updated, and filled per field."""
     kept = F.col("_new_id").isNotNull()
     changed = reduce(
         lambda a, b: a | b,
         [~F.col(f"_old_{f}").eqNullSafe(F.col(f"_new_{f}")) for f in fields],
     )
-    return both.agg(
+    return [
         F.count("*").alias("rows_before"),
         F.count_if(~kept).alias("rows_deleted"),
         F.count_if(kept & changed).alias("rows_updated"),
@@ -148,4 +152,24 @@ def change_statistics(before: DataFrame, after: DataFrame, id_col: str, fields:
             F.count_if(kept & F.col(f"_old_{f}").isNull() & F.col(f"_new_{f}").isNotNull()).alias(f"{f}_found")
             for f in fields
         ],
-    )
+    ]
+
+
+def change_statistics(before: DataFrame, after: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
+    """Rows found, deleted, updated and filled per field between two states, in one aggregate."""
+    return _paired(before, after, id_col, fields).agg(*_change_counts(fields))
+
+
+def write_changes(before: DataFrame, after: DataFrame, id_col: str, fields: Sequence[str], path: str) -> dict[str, int]:
+    """Write ``after`` (id and fields) as Parquet and return the counts of ``change_statistics``, taken by the write itself.
+
+    The counts are observed in the tasks that write, after the last shuffle: Spark takes one result per written
+    partition, so tasks that are repeated do not count twice. Ids are unique in both states; a row that ``before``
+    does not know is not written.
+    """
+    seen = Observation("changes")
+    # deleted rows are counted first and then left out, without another shuffle
+    observed = _paired(before, after, id_col, fields).observe(seen, *_change_counts(fields))
+    kept = observed.filter(F.col("_new_id").isNotNull())
+    kept.select(F.col("_new_id").alias(id_col), *[F.col(f"_new_{f}").alias(f) for f in fields]).write.mode("overwrite").parquet(path)
+    return seen.get

@@ -195,7 +195,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 def read_cache_json(spark: SparkSession, path: str, value: T.StructType, key: str = "key") -> DataFrame:
     """A JSON object ``key -> value`` as rows; a missing or broken file gives no rows."""
     schema = T.StructType([T.StructField(key, T.StringType()), *value.fields])
-    texts = if_there(lambda: spark.read.option("wholetext", True).text(path))
+    texts = if_there(lambda: spark.read.text(path, wholetext=True))
     if texts is None:
         return empty(spark, schema)
     entries = F.from_json("value", T.MapType(T.StringType(), value))

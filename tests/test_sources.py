@@ -109,6 +109,12 @@ def test_carry_forward(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "b" / "places")).count() == 3
 
 
+def test_cache_objects_may_span_lines(spark, tmp_path, rows):
+    value = T.StructType([T.StructField("beds", T.IntegerType())])
+    (tmp_path / "cache.json").write_text('{\n "a": {"beds": 1},\n "b": {"beds": null}\n}\n')
+    assert rows(readers.read_cache_json(spark, str(tmp_path / "cache.json"), value)) == [("a", 1), ("b", None)]
+
+
 def test_ledger_resumes_and_replaces_slices(spark, tmp_path, rows):
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("beds", T.IntegerType())])
     ledger = Ledger(spark, str(tmp_path / "ledger"), schema)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordwell.operators import inference, references
+from recordwell.operators import checks, inference, references
 from recordwell.operators.calls import ATTRIBUTES, CallLog, search_cached
 from recordwell.sources.manifest import Conflict, Manifest
 from recordwell.sources.runs import RunTable
@@ -242,3 +242,21 @@ def test_two_tables_that_refer_to_each_other(spark, rows):
     assert {n: rows(df) for n, df in got.items()} == plain_delete(tables, links, {"a": [8]})
     with pytest.raises(ValueError, match="unknown action"):
         references.delete_rows(frames, [("a", "b", "b", "restrict")], {})
+
+
+def test_a_write_counts_its_changes_without_another_job(spark, tmp_path, rows):
+    before = spark.createDataFrame([(1, None, "a"), (2, "x", "a"), (3, None, None), (4, "x", None)], "id long, city string, region string")
+    after = spark.createDataFrame([(1, "y", "a"), (2, "x", "b"), (4, "x", None), (9, "new", None)], before.schema)
+    path, context = str(tmp_path / "after"), spark.sparkContext
+    context.setJobGroup("observed", "")
+    counts = checks.write_changes(before, after, "id", ["city", "region"], path)
+    written = len(context.statusTracker().getJobIdsForGroup("observed"))
+    context.setJobGroup("plain", "")
+    checks._paired(before, after, "id", ["city", "region"]).write.parquet(str(tmp_path / "plain"))
+    assert written == len(context.statusTracker().getJobIdsForGroup("plain"))
+    context.setJobGroup("rest", "")
+    assert counts == checks.change_statistics(before, after, "id", ["city", "region"]).first().asDict()
+    assert counts == {"rows_before": 4, "rows_deleted": 1, "rows_updated": 2, "city_found": 1, "region_found": 0}
+    assert rows(spark.read.parquet(path), "id", "city", "region") == [(1, "y", "a"), (2, "x", "b"), (4, "x", None)]
+    empty = checks.write_changes(before.limit(0), after, "id", ["city"], path)
+    assert set(empty.values()) == {0}
