@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling over running Karp-Rabin hashes.
 
-A document is tiled with an item only if both hold a seed, that is ``least`` equal tokens in a row.
+A document is tiled with an item only if both hold a seed, that is ``least`` equal tokens in a row; an item
+of fewer tokens is its own seed, so it is found where it stands whole.
 Tiling marks the longest common runs first; a token is covered once, runs may come in any order, so
 reordered passages are caught. An item is leaked into a document when tiles cover at least
 ``coverage`` of the item's tokens.
@@ -8,8 +9,9 @@ reordered passages are caught. An item is leaked into a document when tiles cove
 The benchmark is read in blocks whose size is measured (``block_bytes``); each block is broadcast and
 met by every document in place, so documents never shuffle. One block is the normal case.
 
-Tokens are runs of letters, digits and underscores of the lower-cased text. Defined results: null and
-empty texts contain nothing. Items of fewer than ``least`` tokens are never found. Of items or documents
+Tokens are runs of letters, digits and underscores of the lower-cased text; in scripts that are written without
+spaces each letter is a token. Defined results: null and empty texts contain nothing. Items without any token
+are never found. Of items or documents
 that repeat an id, each row is searched on its own. An empty benchmark finds nothing. The item id is an
 integer; other columns are not looked at.
 """
@@ -29,7 +31,9 @@ LEAST, COVERAGE = 5, 0.8
 #: Benchmark text broadcast at once.
 BLOCK_BYTES = 16 * 2 ** 20
 
-TOKEN = re.compile(r"\w+")
+#: Letters of scripts without spaces: Thai and Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
 BASE = 0x9E3779B97F4A7C15
 RESULT = "array<struct<item_id: long, item_tokens: int, covered: int, tiles: array<struct<doc_start: int, item_start: int, tokens: int>>>>"
 
@@ -110,45 +114,57 @@ def greedy_tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[in
 
 
 class Block:
-    """Items by token number, and the sorted hashes of their seeds."""
+    """Items by token number, and per seed length the sorted hashes of the seeds with the item of each."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], least: int):
-        self.least, self.vocabulary = least, {}
-        self.ids, self.items, hashes, owners = [], [], [], []
+        self.vocabulary: dict[str, int] = {}
+        self.ids, self.items, self.least = [], [], []
+        found: dict[int, tuple[list, list]] = {}
         for key, text in items:
             tokens = tokens_of(text)
-            if len(tokens) < least:
+            if not tokens:
                 continue
             numbers = np.array([self.vocabulary.setdefault(t, len(self.vocabulary) + 1) for t in tokens], np.uint64)
-            seeds = running_hashes(numbers, least)
-            owners.append(np.full(len(seeds), len(self.items)))
+            size = min(least, len(tokens))
+            seeds = running_hashes(numbers, size)
+            hashes, owners = found.setdefault(size, ([], []))
+            owners.append(np.full(len(seeds), len(self.items), np.int64))
             hashes.append(seeds)
             self.ids.append(key)
             self.items.append(numbers)
-        every = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        order = np.argsort(every, kind="stable")
-        self.hashes, self.owners = every[order], np.concatenate([*owners, np.zeros(0, np.int64)])[order].astype(np.int64)
+            self.least.append(size)
+        self.seeds = {}
+        for size, (hashes, owners) in found.items():
+            every = np.concatenate(hashes)
+            order = np.argsort(every, kind="stable")
+            self.seeds[size] = every[order], np.concatenate(owners)[order]
+
+    def shared(self, doc: np.ndarray) -> list[tuple[int, int]]:
+        """(item, seeds of it that the document holds), by item."""
+        out = []
+        for size, (hashes, owners) in self.seeds.items():
+            starts = free_windows(doc != 0, size)
+            if not len(starts):
+                continue
+            seeds = np.unique(running_hashes(doc, size)[starts])
+            low, high = np.searchsorted(hashes, seeds, "left"), np.searchsorted(hashes, seeds, "right")
+            many = high - low
+            places = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
+            item, count = np.unique(owners[places], return_counts=True)
+            out += zip(item.tolist(), count.tolist())
+        return sorted(out)
 
     def leaks(self, text: str | None, coverage: float) -> list[dict]:
         """The items that the text covers far enough, with their tiles."""
         known = self.vocabulary.get
         tokens = tokens_of(text)
         doc = np.fromiter((known(t, 0) for t in tokens), np.uint64, len(tokens))
-        starts = free_windows(doc != 0, self.least)
-        if not len(starts) or not len(self.hashes):
-            return []
-        seeds = np.unique(running_hashes(doc, self.least)[starts])
-        low, high = np.searchsorted(self.hashes, seeds, "left"), np.searchsorted(self.hashes, seeds, "right")
-        shared: dict[int, int] = {}
-        for a, b in zip(low.tolist(), high.tolist()):
-            for owner in self.owners[a:b].tolist():
-                shared[owner] = shared.get(owner, 0) + 1
         out = []
-        for owner, count in sorted(shared.items()):
-            item = self.items[owner]
-            if count * self.least < coverage * len(item):
+        for owner, count in self.shared(doc):
+            item, least = self.items[owner], self.least[owner]
+            if count * least < coverage * len(item):
                 continue  # seeds cover at most ``least`` tokens each, and every tile consists of seeds
-            tiles = greedy_tiles(doc, item, self.least)
+            tiles = greedy_tiles(doc, item, least)
             covered = sum(t[2] for t in tiles)
             if covered >= coverage * len(item):
                 out.append({"item_id": self.ids[owner], "item_tokens": len(item), "covered": covered,

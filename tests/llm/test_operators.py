@@ -166,6 +166,33 @@ def test_repeated_words_do_not_hide_an_item():
     assert [x["item_id"] for x in block.leaks("b " * 5 + "a " * 30, 0.8)] == [9]
 
 
+def test_short_items_and_scripts_without_spaces_are_found(spark):
+    question = "中国的首都是哪一个城市，这个城市有多少人口住在那里呢？"
+    items = [(1, "What is the capital"), (2, question), (3, "hello"), (4, "... !"), (5, "สวัสดี ครับ"), (6, "a b c d e f g h i j")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [
+        "he asked: what is the CAPITAL of it", "what is a capital, the", "前面" + question.replace("，", "") + "后面", question[:12],
+        "say hello", "helloes", "xสวัสดีครับ", "a b c d e x f g h i j", "a b c d x e f g h i j", "... !", None, "", "what is the " * 20_000 + "capital",
+    ]
+    found = {1: 0, 2: 2, 3: 4, 5: 6, 6: 7}
+    for block_bytes in (10, 10 ** 6):
+        got = tiling.leaked_items(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench, block_bytes=block_bytes)
+        assert sorted((r.item_id, r.doc_id, r.coverage) for r in got.collect()) == sorted([*((i, d, 1.0) for i, d in found.items()), (1, 12, 1.0)])
+
+
+def test_items_that_share_a_seed_are_counted_as_by_hand():
+    rnd = random.Random(7)
+    items = [(i, " ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 12)))) for i in range(60)]
+    block = tiling.Block(items, 3)
+    doc = [rnd.choice("abcx") for _ in range(50)]
+    got = dict(block.shared(np.array([block.vocabulary.get(t, 0) for t in doc], np.uint64)))
+    kept = [(key, text.split()) for key, text in items if text]
+    for number, (key, words) in enumerate(kept):
+        n = min(3, len(words))
+        held = {tuple(doc[k:k + n]) for k in range(len(doc) - n + 1)}
+        assert got.get(number, 0) == sum(tuple(words[k:k + n]) in held for k in range(len(words) - n + 1))
+
+
 # pieces
 
 @pytest.fixture(scope="module")
