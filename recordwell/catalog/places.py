@@ -279,8 +279,5 @@ def _(spark, folder):
         .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTER_RUN), F.lit(0))).alias("w"))
         .groupBy("w").agg(F.count("*").alias("uses"))
     )
-    known = words.select(F.col("w").alias("known"), "uses")
-    pairs = edit_distance_pairs(words.select(F.col("w").alias("word")), known, "word", "known", 2)
-    best = pairs.groupBy("word").agg(
-        F.min(F.struct("distance", (-F.col("uses")).alias("u"), "known")).alias("m"))
-    return best.select("word", F.col("m.known").alias("known"), F.col("m.distance").alias("distance"))
+    known = words.select(F.col("w").alias("known"), (-F.col("uses")).alias("u"))
+    return edit_distance_pairs(words.select(F.col("w").alias("word")), known, "word", "known", 2, nearest="u").select("word", "known", "distance")

@@ -1,11 +1,13 @@
 import random
 import unicodedata
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from recordwell.catalog import QUERIES
 from recordwell.operators.contain import containment_pairs, drop_containers, link_by_containment
+from recordwell.operators import edits as edits_module
 from recordwell.operators.edits import edit_distance_pairs, typo_match
 from recordwell.operators.fill import (
     apply_actions, fill_missing, gap_fill, lookup_key, self_fill, split_by_cache,
@@ -52,6 +54,41 @@ def test_edit_join_finds_every_pair(spark, k):
     assert any(len(a) > 32 for a, _, _ in wanted) and any(len(a) < 3 for a, _, _ in wanted)
 
 
+@pytest.mark.parametrize("held", [10**6, 50])
+def test_nearest_is_the_best_of_all_pairs(spark, monkeypatch, held):
+    monkeypatch.setattr(edits_module, "VARIANTS_HELD", held)
+    monkeypatch.setattr(edits_module, "PAIRS_HELD", held)
+    rng = random.Random(held)
+    good = words(rng, 200, 1, 9) + words(rng, 60, 26, 38) + ["é" * 30, "京都", "京"]
+    bad = sorted({mutate(rng, w) for w in good for _ in range(2)} | set(good[::3]) | set(words(rng, 80, 0, 4)) | {"é" * 31, "東京"})
+    value = {w: rng.choice([-3, -2, -1, None]) for w in good}
+    order = {w: float("inf") if v is None else v for w, v in value.items()}
+    wanted = {}
+    for a in bad:
+        near = [(d, order[b], b) for b in good if a and a != b and abs(len(a) - len(b)) <= 2 and (d := edits(a, b)) <= 2]
+        if near:
+            wanted[a] = (min(near)[2], min(near)[0])
+    left = spark.createDataFrame([(w,) for w in bad], "a string")
+    right = spark.createDataFrame(list(value.items()), "b string, v long")
+    got = edit_distance_pairs(left, right, "a", "b", 2, nearest="v").collect()
+    assert len(got) == len(wanted) and {r["a"]: (r["b"], r["distance"]) for r in got} == wanted
+
+
+def test_tasks_without_names_find_nothing(spark):
+    none = pd.DataFrame({"name": [], "left": [], "right": [], "rank": [], "cut": []})
+    assert not [*edits_module._nearest_in_task(iter([]), 2), *edits_module._nearest_in_task(iter([none]), 2)]
+    one = spark.createDataFrame([("ab",)], "a string")
+    other = spark.createDataFrame([("abc", 1)], "b string, v long")
+    assert edit_distance_pairs(one, other, "a", "b", 2, nearest="v").collect() == [("ab", "abc", 1, 1)]
+
+
+def test_many_keys_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(edits_module, "BROADCAST_KEYS", 10)
+    left = spark.createDataFrame([("abcdefgh",), ("bcdefghi",)], "a string")
+    plan = edit_distance_pairs(left, left.withColumnRenamed("a", "b"), "a", "b", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 #: Words of several scripts, of one letter and of many, used once and often.
 SCRIPTS = [
     "Élève élèves eleve a à b 東京 東京都 京 Москва москвы москва naïve naive naïveté", "straße strasse STRASSE, x-ray हिन्दी हिन्दि؛ مدينة مدينه",
