@@ -239,11 +239,8 @@ def _(spark, folder):
         .filter(F.length("w") >= 6).groupBy("w").agg(F.count("*").alias("uses"))
     )
     rare = words.filter("uses = 1").select(F.col("w").alias("word"))
-    known = words.filter("uses >= 20").select(F.col("w").alias("known"), "uses")
-    pairs = edit_distance_pairs(rare, known, "word", "known", 2)
-    best = pairs.groupBy("word").agg(
-        F.min(F.struct("distance", (-F.col("uses")).alias("u"), "known")).alias("m"))
-    return best.select("word", F.col("m.known").alias("known"), F.col("m.distance").alias("distance"))
+    known = words.filter("uses >= 20").select(F.col("w").alias("known"), (-F.col("uses")).alias("u"))
+    return edit_distance_pairs(rare, known, "word", "known", 2, nearest="u").select("word", "known", "distance")
 
 
 # Every word of any script and length on both sides. Words within two edits are equal after two deletions at most on each side.
