@@ -19,6 +19,8 @@ from recordwell.sources.snapshot import Snapshots
 
 #: Batches of a slice in ``enrich_resume``.
 _SLICE = 200
+#: Calls of a task in ``enrich_resume``: they take less than starting a task does.
+_TOGETHER = 25
 
 
 @query("enrich_resume", f"WITH h AS ({HOSPITALS.sql}), b AS (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 10 AS batch_id FROM h), "
@@ -32,9 +34,9 @@ def _(spark, folder):
     prompts = batched.select("batch_id", inference.capacity_prompt(F.col("records")).alias("prompt"))
     log = CallLog(spark, scratch(spark, "calls"))
     slices = batched.agg(F.expr(f"max(batch_id) div {_SLICE} + 1")).first()[0]
-    log.run(prompts, offline_capacity(), "first", _SLICE, slices // 2, check=inference.is_capacities)
-    log.run(prompts, offline_capacity(), "second", _SLICE, check=inference.is_capacities)
-    log.run(prompts, offline_capacity(), "third", _SLICE, check=inference.is_capacities)
+    log.run(prompts, offline_capacity(), "first", _SLICE, slices // 2, check=inference.is_capacities, together=_TOGETHER)
+    log.run(prompts, offline_capacity(), "second", _SLICE, check=inference.is_capacities, together=_TOGETHER)
+    log.run(prompts, offline_capacity(), "third", _SLICE, check=inference.is_capacities, together=_TOGETHER)
     asked = log.claims().groupBy(F.col("batch_id").alias("_b")).agg(F.count("*").alias("claims"))
     made = log.answers().groupBy(F.col("batch_id").alias("_c")).agg(F.sum("calls").alias("calls"))
     found = log.replies().select(

@@ -1,8 +1,8 @@
 """Model calls that outlive their job: claims, answers, and caches that are written back.
 
 ``CallLog`` keeps a long series of calls on shared storage. Prompts go out in slices of consecutive batch numbers. A
-slice's claims are written first, then its calls run in the tasks that write the answers: a task holds one call,
-and its answer is in place as soon as the task commits. A repeated task is therefore one whose answer had not been stored;
+slice's claims are written first, then its calls run in the tasks that write the answers: a task holds one call (or as many as
+the caller puts ``together``), and its answers are in place as soon as the task commits. A repeated task is therefore one whose answer had not been stored;
 a job that dies loses the calls in flight and nothing else, and the next run asks only what has no answer. Batches are
 known by number and by the digest of their prompt, so an answer to other rows never counts.
 """
@@ -64,21 +64,23 @@ class CallLog:
         return asked
 
     def run(self, prompts: DataFrame, model: Model, name: str | None = None, slice_size: int = 1000, slices: int | None = None,
-            retries: int = REPAIR_RETRIES, check: Callable[[str], bool] | None = None) -> int:
+            retries: int = REPAIR_RETRIES, check: Callable[[str], bool] | None = None, together: int = 1) -> int:
         """Ask what is pending, ``slice_size`` batch numbers a slice, at most ``slices`` slices; returns how many slices ran.
 
-        ``name`` marks the claims and answers of the run.
+        ``name`` marks the claims and answers of the run. A task makes about ``together`` calls: a task that dies loses the answers
+        of all its calls, so more than one is for calls that are short beside a task.
         """
         name = name or uuid.uuid4().hex
-        waiting = cut_lineage(self.pending(prompts).withColumn("_slice", F.expr(f"batch_id div {slice_size}")))
-        numbers = [r[0] for r in waiting.select("_slice").distinct().orderBy("_slice").collect()]  # a number per slice_size calls
-        for number in numbers[:slices]:
+        # in order, so that a slice is read from few files
+        waiting = cut_lineage(self.pending(prompts).withColumn("_slice", F.expr(f"batch_id div {slice_size}")).orderBy("batch_id"))
+        sizes = waiting.groupBy("_slice").count().orderBy("_slice").collect()  # a row per slice_size calls
+        for number, size in sizes[:slices]:
             own = waiting.filter(F.col("_slice") == number).withColumn("run", F.lit(name))
             own.select(*_CLAIMS.names).coalesce(1).write.mode("append").parquet(f"{self.path}/claims")
-            self._call(own, model, own.count(), retries, check)
-        return len(numbers[:slices])
+            self._call(own, model, -(-size // together), retries, check)
+        return len(sizes[:slices])
 
-    def _call(self, own: DataFrame, model: Model, size: int, retries: int, check: Callable[[str], bool] | None) -> None:
+    def _call(self, own: DataFrame, model: Model, tasks: int, retries: int, check: Callable[[str], bool] | None) -> None:
         def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 found = [ask(model, prompt, retries, check) for prompt in frame["prompt"]]
@@ -88,8 +90,8 @@ class CallLog:
                 out["calls"] = pd.Series([calls for _, _, calls in found], dtype="int32", index=frame.index)
                 yield out
 
-        # one call a task; the second algorithm puts a task's file in place when the task commits, not when the job does
-        spread = own.select(*_CLAIMS.names, "prompt").repartition(max(1, size), "batch_id")
+        # the second algorithm puts a task's file in place when the task commits, not when the job does
+        spread = own.select(*_CLAIMS.names, "prompt").repartition(max(1, tasks), "batch_id")
         spread.mapInPandas(call, _ANSWERS).write.mode("append").option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/answers")
 

@@ -145,6 +145,14 @@ def test_each_call_is_a_task_of_its_own_and_stored_when_its_task_ends(spark, tmp
     assert log.answers().inputFiles().__len__() >= 6 and not list((tmp_path / "log/answers").glob("_temporary/*"))
 
 
+def test_short_calls_share_tasks_and_each_is_made_once(spark, tmp_path):
+    log, calls = CallLog(spark, str(tmp_path / "log")), tmp_path / "calls"
+    assert log.run(prompts_of(spark, 40), counting_model(str(calls)), slice_size=20, together=10) == 2
+    assert sorted(calls.read_text().split()) == sorted(f"p{i}" for i in range(40))
+    assert len(log.answers().inputFiles()) <= 6 and log.claims().count() == 40
+    assert log.run(prompts_of(spark, 40), counting_model(str(calls)), slice_size=20, together=10) == 0
+
+
 HOSPITAL = "id long, name string, city string, address string, phone string, email string, website string, beds int"
 
 
