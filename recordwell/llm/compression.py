@@ -8,8 +8,9 @@ window, over neighbouring windows. It does not add up over long ordinary text, s
 as much in 100 kB as alone. A logistic curve over the evidence, weighted by the share of toxic labels, gives the score.
 
 A toxic text is mostly ordinary prose, and a trainer takes what is frequent. So both dictionaries are trained in rounds: texts are
-dealt into folds, dictionaries from the other folds compress a fold's windows, and the windows of highest gain, toxic and
-ordinary alike, are what the next round trains on. The toxic dictionary comes to hold what sets toxic text apart, the ordinary one
+dealt into folds, dictionaries from the other folds compress a fold's windows, and the windows whose gain, among windows of
+their length, is most a toxic text's, toxic and ordinary alike, are what the next round trains on (a short word cannot gain much,
+so the highest gains alone would leave it out). The toxic dictionary comes to hold what sets toxic text apart, the ordinary one
 what merely looks like it. Passages that several sampled texts share count once.
 
 zstandard stores very short inputs as they are, so a window is compressed three times over; the gain is that of its first time.
@@ -34,11 +35,13 @@ from recordwell.llm.common import bounded_sample
 #: Most bytes of a window, and how often it is compressed over.
 WINDOW, TIMES = 24, 3
 #: Rounds of training: bytes of the dictionaries, share of the windows that the next round trains on; bytes of the last ones.
-ROUNDS, KEPT = ((65536, 0.2), (32768, 0.1), (32768, 0.05)), 8192
+ROUNDS, KEPT = ((65536, 0.2), (32768, 0.1), (32768, 0.05), (16384, 0.02)), 8192
 #: Folds of the texts that train, and one part in so many that calibrates instead.
 FOLDS, CALIBRATES = 3, 4
 #: Bytes of the segments that the trainer picks and of the sequences it counts, windows of a training sample.
 SEGMENT, SEQUENCE, TOGETHER = 12, 6, 8
+#: Training compares windows of these many bytes and up to the next, and those below the first.
+LENGTHS = np.array([4, 5, 6, 7, 8, 9, 11, 14])
 #: Words of a passage that is counted once.
 PASSAGE = 4
 #: Gains outside are counted as the nearest one inside.
@@ -126,11 +129,23 @@ class Gain:
         return np.fromiter(map(known.__getitem__, own), np.int64, len(own))
 
 
-def _highest(gain: Gain, texts: list[list[bytes]], share: float) -> list[bytes]:
-    """The share of all windows with the highest gains, in order of the texts."""
-    own = [window for text in texts for window in text]
-    order = np.argsort(-gain.of(own), kind="stable")[:int(len(own) * share)]
-    return [own[i] for i in np.sort(order)]
+def _cells(gain: Gain, own: list[bytes]) -> np.ndarray:
+    """The class of length and the gain of every window, as one number."""
+    lengths = np.searchsorted(LENGTHS, np.fromiter(map(len, own), np.int64, len(own)), side="right")
+    return lengths * (MOST_GAIN - LEAST_GAIN + 1) + gain.of(own) - LEAST_GAIN
+
+
+def _most_toxic(gain: Gain, kinds: list[list[bytes]], share: float) -> list[list[bytes]]:
+    """Of the toxic and the ordinary windows the share that looks most toxic by length and gain, in order."""
+    cells = [_cells(gain, own) for own in kinds]
+    shape = len(LENGTHS) + 1, MOST_GAIN - LEAST_GAIN + 1
+    bad, good = (np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape) / max(1, len(cell)) for cell in cells)
+    half = 0.5 / max(1, len(kinds[0]))
+    looks = np.concatenate([
+        rising(np.log(a + half) - np.log(b + half), a + b + 1e-9) for a, b in zip(bad, good)
+    ])
+    orders = [np.argsort(-looks[cell], kind="stable")[:int(len(cell) * share)] for cell in cells]
+    return [[own[i] for i in np.sort(order)] for own, order in zip(kinds, orders)]
 
 
 def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Gain:
@@ -141,8 +156,9 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Gain:
         following = [[], []]
         for i in range(FOLDS):
             gain = Gain(*[trained([w for j, fold in enumerate(kind) if j != i for w in fold], size) for kind in chosen])
-            for kind in (0, 1):
-                following[kind].append(_highest(gain, folds[kind][i], share))
+            own = [[w for text in kind[i] for w in text] for kind in folds]
+            for kind, found in enumerate(_most_toxic(gain, own, share)):
+                following[kind].append(found)
         if not all(any(kind) for kind in following):
             break
         chosen = following

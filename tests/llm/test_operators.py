@@ -481,6 +481,25 @@ def test_scores_equal_the_plain_form_and_do_not_follow_length():
     assert toxic != ordinary and (b"nincompoop" in toxic) and b"nincompoop" not in ordinary
 
 
+def test_short_insults_are_learnt_among_common_syllables():
+    syllables = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
+    insults = "scum moron loser trash clown idiot".split()
+
+    def texts(rng, n, toxic):
+        out = []
+        for _ in range(n):
+            words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(40, 200))]
+            for _ in range(3 * toxic):
+                words.insert(rng.randint(0, len(words)), rng.choice(insults))
+            out.append(" ".join(words))
+        return out
+
+    rng = random.Random(2)
+    distance = compression.Distance(texts(rng, 300, True), texts(rng, 300, False), 0.5)
+    clean = sorted(distance.score(t) for t in texts(rng, 150, False))
+    assert np.mean([distance.score(t) > clean[140] for t in texts(rng, 150, True)]) > 0.8
+
+
 def test_passages_of_several_texts_train_once():
     first, second = [b"a", b"b", b"c", b"d", b"e"], [b"x", b"a", b"b", b"c", b"d", b"y"]
     assert compression.once([first, second, first]) == [first, [b"x", b"y"], []]
