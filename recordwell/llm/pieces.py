@@ -24,10 +24,13 @@ Other columns are not looked at.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, SparkSession, functions as F
 
@@ -235,6 +238,17 @@ class Pieces:
             ids += known
         return ids
 
+    def encode_all(self, texts: Iterable[str | None]) -> pa.Array:
+        """Struct (ids, lossless) of texts that are read once, one at a time; the ids are held as 32-bit numbers."""
+        ids, ends, lossless = array("i"), array("i", [0]), []
+        for text in texts:
+            own = self.encode(text)
+            ids.fromlist(own)
+            ends.append(len(ids))
+            lossless.append(self.lossless(text, own))
+        lists = pa.ListArray.from_arrays(np.asarray(ends), np.asarray(ids))
+        return pa.StructArray.from_arrays([lists, pa.array(lossless, pa.bool_())], ["ids", "lossless"])
+
     def lossless(self, text: str | None, ids: list[int]) -> bool:
         """Whether ids of this vocabulary decode to the text."""
         return b"".join(map(self.spelt.__getitem__, ids)).removeprefix(b" ") == (text or "").encode()
@@ -267,12 +281,9 @@ def read_model(spark: SparkSession, path: str) -> bytes:
 
 def encode(text: Column, model: bytes, kind: str = "bpe") -> Column:
     """Struct (ids, lossless) of a text column."""
-    @F.pandas_udf("ids array<int>, lossless boolean")
-    def encoded(texts: pd.Series) -> pd.DataFrame:
-        pieces = _loaded(model, kind)
-        plain = [t if isinstance(t, str) else None for t in texts]
-        ids = [pieces.encode(t) for t in plain]
-        return pd.DataFrame({"ids": ids, "lossless": [pieces.lossless(t, i) for i, t in zip(ids, plain)]})
+    @F.arrow_udf("ids array<int>, lossless boolean")
+    def encoded(texts: pa.Array) -> pa.Array:
+        return _loaded(model, kind).encode_all(t.as_py() for t in texts)
 
     return encoded(text)
 

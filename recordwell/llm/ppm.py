@@ -11,14 +11,17 @@ of all languages, so a text is scored for all of them in one walk.
 
 Training reads a bounded sample (documented in ``train``). Defined results: null texts and texts
 without a letter are ``und`` with score 0; ties go to the language that sorts first; with nothing to
-learn from every text is ``und``. Whole texts are scored, in slices of bounded memory. Other columns
-are not looked at.
+learn from every text is ``und``. Whole texts are scored, one after the other as they come out of the
+Arrow batch and in slices of bounded memory. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordwell.llm.common import bounded_sample
@@ -28,7 +31,7 @@ ORDER = 4
 #: Bound of the training sample: whole texts per language, and bytes of one text.
 TEXTS, TEXT_BYTES = 200, 32768
 #: Bytes scored at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 UNKNOWN = "und"
 
 
@@ -90,11 +93,12 @@ class Trees:
             out[~found] = bits
         return out
 
-    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of each text in each language; texts are coded in slices of bounded size."""
-        out = np.zeros((len(texts), len(self.languages)))
+    def code_lengths(self, texts: Iterable[bytes]) -> np.ndarray:
+        """Bits of each text in each language; texts are read once and coded in slices of bounded size."""
+        owners: list[int] = []
+        sums = [np.zeros((0, len(self.languages)))]
         batch: list[tuple[int, np.ndarray]] = []
-        size = 0
+        size = count = 0
 
         def flush() -> None:
             nonlocal size
@@ -102,11 +106,13 @@ class Trees:
                 numbers, unique = pd.factorize(np.concatenate([p for _, p in batch]))
                 bits = self.code(unique)[numbers]
                 starts = np.cumsum([0, *[len(p) for _, p in batch[:-1]]])
-                np.add.at(out, [i for i, _ in batch], np.add.reduceat(bits, starts, axis=0))
+                owners.extend([i for i, _ in batch])
+                sums.append(np.add.reduceat(bits, starts, axis=0))
             batch.clear()
             size = 0
 
         for i, text in enumerate(texts):
+            count += 1
             for at in range(0, len(text), SLICE):
                 before = text[max(0, at - self.order):at]
                 part = paths(before + text[at:at + SLICE], self.order)[len(before):]
@@ -115,14 +121,23 @@ class Trees:
                 if size >= SLICE:
                     flush()
         flush()
+        out = np.zeros((count, len(self.languages)))
+        np.add.at(out, np.array(owners, np.int64), np.concatenate(sums))
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and posterior probability (equal priors) of each text."""
-        spoken = [bool(t) and any(map(str.isalpha, t)) for t in texts]
+    def predict(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and posterior probability (equal priors) of each text; texts are read once."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        bits = self.code_lengths([t.encode() if ok else b"" for t, ok in zip(texts, spoken)])
+            unknown = [UNKNOWN for _ in texts]
+            return unknown, np.zeros(len(unknown))
+        spoken: list[bool] = []
+
+        def letters() -> Iterator[bytes]:
+            for text in texts:
+                spoken.append(bool(text) and any(map(str.isalpha, text)))
+                yield text.encode() if spoken[-1] else b""
+
+        bits = self.code_lengths(letters())
         best = bits.argmin(axis=1)
         # minus, and at most 1000 bits behind, so that nothing overflows
         behind = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000.0)
@@ -142,8 +157,12 @@ def train(
     sample = bounded_sample(rows, language, text, texts, text_bytes)
 
     def count(own: pd.DataFrame) -> pd.DataFrame:
-        every = np.concatenate([paths(t.encode(), order) for t in own["text"]])
-        found = [(k, *np.unique(every & _mask(k), return_counts=True)) for k in range(order + 1)]
+        known, n = np.unique(np.concatenate([paths(t.encode(), order) for t in own["text"]]), return_counts=True)
+        found = []
+        for k in range(order, -1, -1):  # the paths of an order are sums over those of the next longer
+            known, place = np.unique(known & _mask(k), return_inverse=True)
+            n = np.bincount(place, n).astype(np.int64)
+            found.append((k, known, n))
         return pd.concat([
             pd.DataFrame({"language": own["label"].iloc[0], "order": k, "path": path.astype(np.int64), "count": n}) for k, path, n in found])
 
@@ -156,9 +175,9 @@ def languages(text: Column, trees: Trees, spark) -> Column:
     """Struct (lang, score) of a text column."""
     model = spark.sparkContext.broadcast(trees)
 
-    @F.pandas_udf("lang string, score double")
-    def predict(values: pd.Series) -> pd.DataFrame:
-        lang, score = model.value.predict([v if isinstance(v, str) else None for v in values])
-        return pd.DataFrame({"lang": lang, "score": score})
+    @F.arrow_udf("lang string, score double")
+    def predict(values: pa.Array) -> pa.Array:
+        lang, score = model.value.predict(v.as_py() for v in values)
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
 
     return predict(text)

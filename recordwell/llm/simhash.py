@@ -24,6 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -58,10 +59,10 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 def fingerprints(text: Column, words: int = 3) -> Column:
     """The fingerprint as a long with the same bits."""
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        values = np.array([fingerprint(t, words) for t in texts], np.uint64)
-        return pd.Series(values.view(np.int64))
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        values = np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64)
+        return pa.array(values.view(np.int64))
 
     return of(text)
 

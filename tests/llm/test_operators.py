@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 import xxhash
@@ -612,3 +614,39 @@ def test_kth_highest_equals_sorting(spark):
     for k in (1, 7, 250, 500):
         bar = sorted(values, reverse=True)[k - 1]
         assert resampling.kth_highest(frame, "v", k) == (bar, sum(v > bar for v in values))
+
+
+def test_languages_hold_one_slice_of_a_batch_of_texts():
+    data = b"the cat sat on the mat, then the hat"
+    counts = pd.concat([
+        pd.DataFrame({"language": lang, "order": k, "path": (ppm.paths(data, 2) & ppm._mask(k)).astype(np.int64), "count": 1})
+        for lang in ("en", "fr") for k in range(3)
+    ]).groupby(["language", "order", "path"], as_index=False).sum()
+    trees = ppm.Trees(["en", "fr"], counts, 2)
+    once = [(f"the cat {i} " * 2000) if i % 9 else ["", None, "12"][i % 3] for i in range(200)]
+    tracemalloc.start()
+    try:
+        found, score = trees.predict(once)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(t or "") for t in once) > 3_000_000 and peak < 30_000_000
+    alone = [trees.predict([text]) for text in once]
+    assert found == [a[0][0] for a in alone] and score == pytest.approx([a[1][0] for a in alone])
+
+
+def test_ids_of_a_batch_are_held_as_32_bit_numbers():
+    known = pieces.Pieces(open(PIECES_PATH, "rb").read())
+    once = ["a b " * 5000, None, "", "été 中文 \n"] * 20
+    for text in once[:4]:
+        known.encode(text)  # fills the memo
+    tracemalloc.start()
+    try:
+        coded = known.encode_all(text for text in once)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert coded.field("ids").to_pylist() == [known.encode(text) for text in once]
+    assert coded.field("lossless").to_pylist() == [True] * 80
+    assert len(coded.field("ids").flatten()) >= 200_000 and peak < 8 * 200_000 + 2_000_000
+    assert known.encode_all([]).to_pylist() == []
