@@ -13,6 +13,7 @@ from recordwell.catalog.tables import scratch
 from recordwell.functions.messages import parse_capacity
 from recordwell.operators import inference, references
 from recordwell.operators.calls import CallLog
+from recordwell.session import cut_lineage
 from recordwell.sources.runs import RunTable
 from recordwell.sources.schemas import LOAD_ORDER
 from recordwell.sources.snapshot import Snapshots
@@ -30,7 +31,7 @@ _TOGETHER = 25
 def _(spark, folder):
     """Half the slices are answered by a first run; the second asks only the others, and no batch is asked twice."""
     rows = HOSPITALS.frame(spark, folder).select("id", "name", "type")
-    batched = inference.batches(rows, ["id", "name", "type"], "id", inference.CAPACITY_BATCH)
+    batched = cut_lineage(inference.batches(rows, ["id", "name", "type"], "id", inference.CAPACITY_BATCH))
     prompts = batched.select("batch_id", inference.capacity_prompt(F.col("records")).alias("prompt"))
     log = CallLog(spark, scratch(spark, "calls"))
     slices = batched.agg(F.expr(f"max(batch_id) div {_SLICE} + 1")).first()[0]

@@ -5,15 +5,20 @@ slice's claims are written first, then its calls run in the tasks that write the
 the caller puts ``together``), and its answers are in place as soon as the task commits. A repeated task is therefore one whose answer had not been stored;
 a job that dies loses the calls in flight and nothing else, and the next run asks only what has no answer. Batches are
 known by number and by the digest of their prompt, so an answer to other rows never counts.
+
+Slices that are short beside a job go out several at once, as a wave: its claims, then its calls. A wave that dies has cost batches
+nobody asked an attempt, so slices with a claim that got no outcome go out alone: the one that kills its job takes no more from the others.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import takewhile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from recordwell.operators.inference import (
@@ -24,6 +29,11 @@ from recordwell.session import cut_lineage
 from recordwell.sources.readers import empty, if_there
 from recordwell.sources.runs import RunTable
 
+#: A wave is doubled while it takes fewer seconds, up to so many slices.
+_WAVE_SECONDS, _WAVE_SLICES = 10, 128
+#: Calls put together are doubled while their tasks take fewer seconds, up to so many calls a task.
+_TASK_SECONDS, _TASK_CALLS = 1, 1000
+
 _CLAIMS = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("digest", T.StringType()), T.StructField("run", T.StringType())])
 _ANSWERS = T.StructType([
     *_CLAIMS.fields, T.StructField("reply", T.StringType()), T.StructField("error", T.StringType()), T.StructField("calls", T.IntegerType()),
@@ -57,28 +67,62 @@ class CallLog:
 
     def pending(self, prompts: DataFrame) -> DataFrame:
         """(batch_id, digest, prompt) of the batches without a reply that may still be claimed."""
+        return self._pending(prompts).drop("_lost")
+
+    def _pending(self, prompts: DataFrame) -> DataFrame:
+        """``pending``, and whether a claim of the batch got no outcome: ``_lost``."""
         asked = prompts.select("batch_id", F.sha2(F.col("prompt").cast("binary"), 256).alias("digest"), "prompt")
-        spent = self.claims().groupBy("batch_id", "digest").count().filter(F.col("count") >= self.attempts)
-        for closed in (self.replies(), spent):
-            asked = asked.join(closed.select("batch_id", "digest"), ["batch_id", "digest"], "left_anti")
-        return asked
+        claims = self.claims().select("batch_id", "digest", F.lit(1).alias("_claims"), F.lit(0).alias("_outcomes"), F.lit(False).alias("_replied"))
+        answers = self.answers().select(
+            "batch_id", "digest", F.lit(0).alias("_claims"), F.lit(1).alias("_outcomes"), F.col("reply").isNotNull().alias("_replied"))
+        known = claims.unionByName(answers).groupBy("batch_id", "digest").agg(
+            F.sum("_claims").alias("_claims"), F.sum("_outcomes").alias("_outcomes"), F.max("_replied").alias("_replied"))
+        closed = F.col("_replied") | (F.col("_claims") >= self.attempts)
+        lost = F.col("_claims") > F.col("_outcomes")
+        return asked.join(known, ["batch_id", "digest"], "left").filter(~F.coalesce(closed, F.lit(False))).select(
+            *asked.columns, F.coalesce(lost, F.lit(False)).alias("_lost"))
 
     def run(self, prompts: DataFrame, model: Model, name: str | None = None, slice_size: int = 1000, slices: int | None = None,
             retries: int = REPAIR_RETRIES, check: Callable[[str], bool] | None = None, together: int = 1) -> int:
         """Ask what is pending, ``slice_size`` batch numbers a slice, at most ``slices`` slices; returns how many slices ran.
 
         ``name`` marks the claims and answers of the run. A task makes about ``together`` calls: a task that dies loses the answers
-        of all its calls, so more than one is for calls that are short beside a task.
+        of all its calls, so more than one is for calls that are short beside a task. Then the next wave's tasks make twice as many
+        while they take less than a second; one call a task stays one.
         """
         name = name or uuid.uuid4().hex
-        # in order, so that a slice is read from few files
-        waiting = cut_lineage(self.pending(prompts).withColumn("_slice", F.expr(f"batch_id div {slice_size}")).orderBy("batch_id"))
-        sizes = waiting.groupBy("_slice").count().orderBy("_slice").collect()  # a row per slice_size calls
-        for number, size in sizes[:slices]:
-            own = waiting.filter(F.col("_slice") == number).withColumn("run", F.lit(name))
-            own.select(*_CLAIMS.names).coalesce(1).write.mode("append").parquet(f"{self.path}/claims")
-            self._call(own, model, -(-size // together), retries, check)
-        return len(sizes[:slices])
+        # in order, so that a wave is read from few files
+        waiting = cut_lineage(self._pending(prompts).withColumn("_slice", F.expr(f"batch_id div {slice_size}")).orderBy("batch_id"))
+        sizes = waiting.groupBy("_slice").agg(F.count("*").alias("calls"), F.max("_lost").alias("lost"))
+        todo = sizes.orderBy("_slice").collect()[:slices]  # a row per slice_size calls
+        slots = self.spark.sparkContext.defaultParallelism
+        at, width = 0, 1
+        while at < len(todo):
+            wave = self._wave(todo, at, width)
+            own = waiting.filter(F.col("_slice").between(wave[0]["_slice"], wave[-1]["_slice"])).withColumn("run", F.lit(name))
+            tasks = max(1, -(-sum(s["calls"] for s in wave) // together))
+            began = time.monotonic()
+            own.select(*_CLAIMS.names).write.mode("append").parquet(f"{self.path}/claims")
+            claimed = time.monotonic()
+            self._call(own, model, tasks, retries, check)
+            ended = time.monotonic()
+            if together > 1 and (ended - claimed) * slots < _TASK_SECONDS * tasks:
+                together = max(together, min(2 * together, _TASK_CALLS))
+            if ended - began < _WAVE_SECONDS:
+                width = min(2 * width, _WAVE_SLICES)
+            elif ended - began > 2 * _WAVE_SECONDS:
+                width = max(1, width // 2)
+            at += len(wave)
+        return len(todo)
+
+    def _wave(self, todo: list[Row], at: int, width: int) -> list[Row]:
+        """The slices to go out next, ``width`` at most: one that may have killed its job, or whose batches have no second attempt, goes alone."""
+        def alone(s: Row) -> bool:
+            return s["lost"] or s["_slice"] is None or self.attempts < 2
+
+        if alone(todo[at]):
+            return todo[at:at + 1]
+        return list(takewhile(lambda s: not alone(s), todo[at:at + width]))
 
     def _call(self, own: DataFrame, model: Model, tasks: int, retries: int, check: Callable[[str], bool] | None) -> None:
         def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,7 +135,7 @@ class CallLog:
                 yield out
 
         # the second algorithm puts a task's file in place when the task commits, not when the job does
-        spread = own.select(*_CLAIMS.names, "prompt").repartition(max(1, tasks), "batch_id")
+        spread = own.select(*_CLAIMS.names, "prompt").repartition(tasks, "batch_id")
         spread.mapInPandas(call, _ANSWERS).write.mode("append").option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/answers")
 

@@ -153,6 +153,60 @@ def test_short_calls_share_tasks_and_each_is_made_once(spark, tmp_path):
     assert log.run(prompts_of(spark, 40), counting_model(str(calls)), slice_size=20, together=10) == 0
 
 
+class WatchedLog(CallLog):
+    """Notes the batches and tasks of every job that calls, and dies of some batches."""
+    dies, jobs = frozenset(), ()
+
+    def _call(self, own, model, tasks, retries, check):
+        asked = sorted(r.batch_id for r in own.collect())
+        assert {r.batch_id for r in self.claims().collect()} >= set(asked)
+        self.jobs = (*self.jobs, (asked, tasks))
+        if self.dies.intersection(asked):
+            raise InterruptedError("the job dies here")
+        super()._call(own, model, tasks, retries, check)
+
+
+def test_short_slices_go_out_in_waves_and_each_call_is_made_once(spark, tmp_path):
+    log, calls = WatchedLog(spark, str(tmp_path / "log")), tmp_path / "calls"
+    model = counting_model(str(calls))
+    assert log.run(prompts_of(spark, 60), model, "first", slice_size=2, slices=11) == 11
+    assert sum((asked for asked, _ in log.jobs), []) == list(range(22)) and len(log.jobs) <= 6
+    assert [tasks for _, tasks in log.jobs] == [len(asked) for asked, _ in log.jobs]
+    assert log.run(prompts_of(spark, 60), model, "second", slice_size=2) == 19
+    assert log.run(prompts_of(spark, 60), model, "third", slice_size=2) == 0
+    assert sorted(calls.read_text().split()) == sorted(f"p{i}" for i in range(60))
+    assert {r.batch_id: r.run for r in log.replies().collect()} == {i: "first" if i < 22 else "second" for i in range(60)}
+    assert log.claims().count() == 60 == log.answers().agg(F.sum("calls")).first()[0]
+
+
+def test_long_slices_go_out_alone_and_short_calls_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("recordwell.operators.calls._WAVE_SECONDS", 0, raising=False)
+    monkeypatch.setattr("recordwell.operators.calls._TASK_SECONDS", 1000, raising=False)
+    log, model = WatchedLog(spark, str(tmp_path / "log")), counting_model(str(tmp_path / "calls"))
+    log.run(prompts_of(spark, 32), model, slice_size=8, together=2)
+    assert log.jobs == tuple((list(range(8 * i, 8 * i + 8)), tasks) for i, tasks in enumerate([4, 2, 1, 1]))
+    one_each = WatchedLog(spark, str(tmp_path / "one"))
+    one_each.run(prompts_of(spark, 8), model, slice_size=4)
+    assert [tasks for _, tasks in one_each.jobs] == [4, 4]
+
+
+def test_slices_of_a_wave_that_died_go_out_alone(spark, tmp_path):
+    calls = tmp_path / "calls"
+    log, model = WatchedLog(spark, str(tmp_path / "log"), attempts=2), counting_model(str(calls))
+    log.dies = frozenset([9])
+    for _ in range(2):
+        with pytest.raises(InterruptedError):
+            log.run(prompts_of(spark, 20), model, slice_size=2)
+    before = log.jobs[-2:]
+    assert [asked for asked, _ in before] == [[6, 7], [8, 9]]  # what may have killed the wave goes out slice by slice
+    log.run(prompts_of(spark, 20), model, slice_size=2)
+    assert sorted(calls.read_text().split()) == sorted(f"p{i}" for i in range(20) if i not in (8, 9))
+    assert sorted(r.batch_id for r in log.claims().groupBy("batch_id").count().filter("count > 2").collect()) == []
+    single = WatchedLog(spark, str(tmp_path / "single"), attempts=1)
+    single.run(prompts_of(spark, 6), model, slice_size=2)
+    assert [asked for asked, _ in single.jobs] == [[0, 1], [2, 3], [4, 5]]
+
+
 HOSPITAL = "id long, name string, city string, address string, phone string, email string, website string, beds int"
 
 
